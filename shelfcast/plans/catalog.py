@@ -55,4 +55,5 @@ def _load() -> None:
     # importing the modules registers their queries
     from shelfcast.plans import queries_core  # noqa: F401
     from shelfcast.plans import queries_explore  # noqa: F401
+    from shelfcast.plans import queries_tsa  # noqa: F401
     from shelfcast.plans import queries_models  # noqa: F401
