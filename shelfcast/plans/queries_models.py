@@ -1,0 +1,145 @@
+"""Registered model queries (M2-M9, E5, E7, T3, T4, T8).  Learned models have no SQL
+oracle: the driver records a rows-only check, and tests/ hold property checks
+(non-negative forecasts, q10 <= q50 <= q90, one row per series x horizon)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfcast.operators import features as feat
+from shelfcast.operators import forecast as fcst
+from shelfcast.operators import metrics as met
+from shelfcast.operators import models as mdl
+from shelfcast.operators.sarima import sarima_forecast
+from shelfcast.operators.sequences import sequence_windows
+from shelfcast.plans.catalog import register, rounded
+from shelfcast.plans.queries_core import H, cutoffs, naive_scored, panel_of
+from shelfcast.sources.sinks import materialize
+
+# The registered model runs keep the trees small so that a check run stays short; the
+# library defaults (models.DEFAULT_GBT) are the production settings.
+QUERY_GBT = {"maxIter": 25, "maxDepth": 5}
+
+
+def _model_data(spark, sf_dir):
+    panel = panel_of(spark, sf_dir)
+    cut = cutoffs(spark, sf_dir)
+    features = materialize(mdl.model_frame(feat.build_features(panel, until=cut["train_end"])))
+    cols = feat.feature_columns(features)
+    d = F.col("date")
+    train = features.filter(d <= cut["train_end"])
+    val = features.filter((d > cut["train_end"]) & (d <= cut["val_end"]))
+    test = features.filter(d > cut["val_end"])
+    history = panel.filter(d <= cut["val_end"]).select("id", "date", "sales", "store_id", "cat_id")
+    return panel, features, cols, train, val, test, history, cut
+
+
+def _gbt(spark, sf_dir, params=None):
+    panel, features, cols, train, val, test, history, cut = _model_data(spark, sf_dir)
+    model = mdl.fit_point_model(train, cols, val=val, params={**QUERY_GBT, **(params or {})})
+    return model, cols, train, val, test, history, panel
+
+
+@register("gbt_forecast", None)
+def q_gbt_forecast(spark, sf_dir):
+    """M4 + M6: global boosted-tree forecast of the test span, clipped at 0."""
+    model, _, _, _, test, _, _ = _gbt(spark, sf_dir)
+    out = mdl.predict_point(model, test)
+    return rounded(out.select("id", "date", F.col("sales").cast("double").alias("actual"), "yhat"))
+
+
+def _quantile_scored(spark, sf_dir):
+    model, cols, train, val, test, history, panel = _gbt(spark, sf_dir)
+    qmodel, leaves = mdl.fit_leaf_quantiles(train.unionByName(val), cols)
+    scored = mdl.predict_quantiles(qmodel, leaves, mdl.predict_point(model, test))
+    scored = scored.select("id", "date", "store_id", "cat_id", F.col("sales").cast("double").alias("actual"),
+                           "yhat", "q10", "q50", "q90")
+    return scored, history, model, cols
+
+
+@register("gbt_quantiles", None)
+def q_gbt_quantiles(spark, sf_dir):
+    """M5: P10 / P50 / P90 from leaf quantiles, ordered per row."""
+    scored, _, _, _ = _quantile_scored(spark, sf_dir)
+    return rounded(scored)
+
+
+@register("gbt_evaluation", None)
+def q_gbt_eval(spark, sf_dir):
+    """E5 with coverage + E8 pinball losses of the quantile bands, per store."""
+    scored, history, _, _ = _quantile_scored(spark, sf_dir)
+    rep = met.evaluate(scored, history, "boosted_trees", by="store_id")
+    pin = [met.pinball_loss(scored, q, f"q{int(q * 100)}", "store_id") for q in mdl.QUANTILES]
+    for p in pin:
+        rep = rep.join(p, "store_id")
+    return rounded(rep)
+
+
+@register("gbt_feature_importance", None)
+def q_gbt_importance(spark, sf_dir):
+    """M7 + T3 + T4: top 15 features by impurity gain with their share of the shown rows."""
+    model, cols, *_ = _gbt(spark, sf_dir)
+    return rounded(mdl.feature_importance(model, cols, spark, top=15))
+
+
+@register("tuning_trials", None)
+def q_tuning(spark, sf_dir):
+    """M8 + T8: seeded random search (3 trials here), each scored by validation MASE; best first."""
+    panel, features, cols, train, val, test, history, cut = _model_data(spark, sf_dir)
+    val_hist = panel.filter(F.col("date") <= cut["train_end"]).select("id", "date", "sales")
+
+    def score(model):
+        scored = mdl.predict_point(model, val).select("id", "date", F.col("sales").cast("double").alias("actual"), "yhat")
+        return met.mase(scored, val_hist).first()["MASE"]
+
+    trials = mdl.random_search(train, val, cols, score, n_trials=3, seed=42, base={"maxIter": 15})
+    return rounded(mdl.best_trials(trials, 5))
+
+
+def _sarima(spark, sf_dir, auto=False):
+    panel = panel_of(spark, sf_dir)
+    cut = cutoffs(spark, sf_dir)
+    history = panel.filter(F.col("date") <= cut["val_end"])
+    fc, failed = sarima_forecast(history, cut["val_end"], H, auto=auto)
+    return panel, history, fc, failed
+
+
+@register("sarima_forecast", None)
+def q_sarima(spark, sf_dir):
+    """M2 + P11 + F11: SARIMA(1,0,1)(1,1,0)[7]-style forecast of every series."""
+    _, _, fc, _ = _sarima(spark, sf_dir)
+    return rounded(fc)
+
+
+@register("sarima_auto_orders", None)
+def q_sarima_auto(spark, sf_dir):
+    """M3: per-series order (p <= 3, q <= 2) by AIC; one row per series."""
+    _, _, fc, _ = _sarima(spark, sf_dir, auto=True)
+    return rounded(fc.groupBy("id").agg(F.first("p").alias("p"), F.first("q").alias("q"),
+                                        F.first("aic").alias("aic"), F.count("*").alias("n_steps")))
+
+
+@register("model_leaderboard", None)
+def q_model_board(spark, sf_dir):
+    """E7 + T5: seasonal naive, SARIMA and boosted trees on one common test span (trap D14)."""
+    panel, fc_naive, _, scored_naive, history, cut = naive_scored(spark, sf_dir)
+    _, _, fc_s, _ = _sarima(spark, sf_dir)
+    scored_s = fcst.scored_frame(fc_s.select("id", "h", "date", "yhat"), panel)
+    scored_q, history_q, _, _ = _quantile_scored(spark, sf_dir)
+    reports = [met.evaluate(scored_naive, history, "seasonal_naive_7"),
+               met.evaluate(scored_s, history, "sarima"),
+               met.evaluate(scored_q, history_q, "boosted_trees")]
+    return mdl_leaderboard_int(met.leaderboard(reports))
+
+
+def mdl_leaderboard_int(board):
+    return board.withColumn("Rank", F.col("Rank").cast("int"))
+
+
+@register("sequence_windows", None)
+def q_sequences(spark, sf_dir):
+    """M9 + P10: 56-day encoder / 28-day decoder windows with known inputs and the series
+    normaliser."""
+    panel = panel_of(spark, sf_dir)
+    features = feat.add_benefit_flag(feat.add_event_features(feat.add_calendar_features(panel)))
+    return rounded(sequence_windows(features))
