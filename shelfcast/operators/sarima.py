@@ -22,7 +22,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---- fixed values ----------------------------------------------------------------
@@ -116,7 +116,7 @@ def sarima_forecast(history: DataFrame, cutoff, horizon: int = 28, order: tuple[
                     auto: bool = False) -> tuple[DataFrame, DataFrame]:
     """M2 (fixed order) / M3 (``auto``): forecasts (id, h, date, yhat, p, q, aic) for every
     series and the failure list (id, error)."""
-    cut = cutoff if not isinstance(cutoff, str) else F.lit(cutoff).cast("date")
+    cut = cutoff if isinstance(cutoff, Column) else F.lit(cutoff).cast("date")
     src = history.select("id", "date", "sales")
     out = src.groupBy("id").applyInPandas(_run_group(horizon, order, auto), schema=OUT_SCHEMA)
     fc = (out.filter(F.col("error").isNull()).drop("error")
