@@ -62,7 +62,7 @@ facts AS (
   SELECT CAST(l.l_shipdate AS DATE) AS date, p.p_type AS item_id, {store} AS store_id,
          {_state_case('r.r_name')} AS state_id, {DEPT_CASE} AS dept_id,
          l.l_quantity AS qty,
-         CAST(round(l.l_extendedprice * 1000000 / NULLIF(l.l_quantity, 0)) AS BIGINT) AS price_micros
+         CAST(floor(l.l_extendedprice * 1000000 / NULLIF(l.l_quantity, 0) + 0.5) AS BIGINT) AS price_micros
   FROM lineitem l
   JOIN part p ON l.l_partkey = p.p_partkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey

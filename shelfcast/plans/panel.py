@@ -11,9 +11,11 @@ Two ways in:
 
 Plan shape of ``build_panel``:
   lineitem (5 columns read) -> join part / supplier (size-checked broadcast) -> partial
-  agg by (series, day) -> exchange -> final agg -> exchange by id -> collect the series'
-  days into a map (bounded by the calendar) -> explode the dense day sequence ->
-  broadcast calendar -> windows by id (no further exchange).
+  agg by (item, store, day) -> exchange -> final agg -> checkpoint (written once);
+  checkpoint -> exchange by id -> series list -> explode the day sequence --+
+  checkpoint -> exchange by id ---------------------------------------------+-> left
+  join on (id, date), co-partitioned, no exchange -> broadcast calendar -> windows by
+  id (no further exchange).
 Every series has exactly one row per day, so a window partition by ``id`` never holds
 more than the number of days: a hot series in the line items cannot form a hot key here.
 """
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions import calendar as cal_fn
 from shelfcast.functions import events as ev_fn
 from shelfcast.schemas import CALENDAR_COLUMNS, ID_COLUMNS, PANEL_COLUMNS
+from shelfcast.session import ensure_checkpoint_dir
 from shelfcast.sources.tables import read_table, sized_broadcast
 
 # ---- fixed values of our star-schema mapping (see FIXTURES.md part B) --------------------
@@ -82,13 +85,13 @@ def star_facts(spark: SparkSession, sf_dir: str, store_level: str = "region") ->
                        F.col("p_type").alias("item_id"), "store_id", "state_id",
                        F.col("l_quantity").alias("qty"),
                        unit_price_micros(F.col("l_extendedprice"), F.col("l_quantity")).alias("price_micros")))
-    return with_hierarchy(facts)
+    return facts
 
 
 def unit_price_micros(amount: Column, quantity: Column) -> Column:
-    """Unit price in integer millionths.  Integer sums are exact, so a mean price does not
-    depend on the order in which partitions are added up."""
-    return F.round(F.try_divide(amount * F.lit(1_000_000), quantity)).cast("long")
+    """Unit price in integer millionths (half up).  Integer sums are exact, so a mean price
+    does not depend on the order in which partitions are added up."""
+    return F.floor(F.try_divide(amount * F.lit(1_000_000), quantity) + F.lit(0.5)).cast("long")
 
 
 def mean_price(micros_sum: Column, count: Column) -> Column:
@@ -96,11 +99,18 @@ def mean_price(micros_sum: Column, count: Column) -> Column:
 
 
 def daily_sales(facts: DataFrame) -> DataFrame:
-    """(series, day) aggregate with map-side partial aggregation."""
-    return (facts.groupBy(*ID_COLUMNS, "date")
-                 .agg(F.sum("qty").cast("int").alias("sales"),
-                      F.sum("price_micros").alias("price_sum"),
-                      F.count("price_micros").alias("n_price")))
+    """(series, day) aggregate with map-side partial aggregation; the hierarchy strings
+    (id, dept, cat) are built on the aggregate, not per line item."""
+    daily = (facts.groupBy("item_id", "store_id", "state_id", "date")
+                  .agg(F.sum("qty").cast("int").alias("sales"),
+                       F.sum("price_micros").alias("price_sum"),
+                       F.count("price_micros").alias("n_price")))
+    return with_hierarchy(daily)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def date_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
@@ -113,23 +123,18 @@ def date_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
 
 
 def densify(daily: DataFrame, lo: Column, hi: Column, value_cols: list[str]) -> DataFrame:
-    """Dense (series x day) rows from sparse daily rows, without a join.
+    """Dense (series x day) rows from sparse daily rows.
 
-    One aggregate by ``id`` gathers the series' active days into a day -> values map;
-    its size is bounded by the calendar length (each (id, day) is already one row after
-    the partial aggregation), never by how many line items a hot series has.  Each
-    series row then generates every day of the span with a map lookup.  The output is
-    hash-partitioned by ``id``, which every per-series window below reuses.
+    The series list and the facts are both hash-partitioned by ``id``; the grid is
+    generated per series by ``explode(sequence(lo, hi))``, which keeps that partitioning,
+    so the left join on (id, date) and every later per-series window run without another
+    exchange (``spark.sql.requireAllClusterKeysForCoPartition=false``).  The sparse side
+    is a (series, day) aggregate: a hot series in the raw data is already one row per day.
     """
-    vals = F.struct(*value_cols)
-    per_series = daily.groupBy("id").agg(
-        *[F.any_value(c).alias(c) for c in ID_COLUMNS if c != "id"],
-        F.map_from_entries(F.collect_list(F.struct("date", vals))).alias("days"))
-    # the span is bound first: subqueries may not sit inside a higher-order function
-    cells = F.transform("span", lambda d: F.struct(d.alias("date"), F.try_element_at("days", d).alias("v")))
-    return (per_series.withColumn("span", F.sequence(lo, hi))
-                      .select(*ID_COLUMNS, F.explode(cells).alias("cell"))
-                      .select(*ID_COLUMNS, "cell.date", *[F.col(f"cell.v.{c}").alias(c) for c in value_cols]))
+    facts = daily.select("id", "date", *value_cols).repartition("id")
+    series = daily.select(*ID_COLUMNS).repartition("id").dropDuplicates(["id"])
+    grid = series.select(*ID_COLUMNS, F.explode(F.sequence(lo, hi)).alias("date"))
+    return grid.join(facts, ["id", "date"], "left")
 
 
 def calendar_attributes(day_number: Column, date: Column) -> list[Column]:
@@ -165,8 +170,13 @@ def detect_stockouts(df: DataFrame) -> DataFrame:
 
 
 def build_panel(spark: SparkSession, sf_dir: str, store_level: str = "region") -> DataFrame:
-    """Dense long panel from the star-schema tables: one exchange of panel-sized data."""
-    daily = daily_sales(star_facts(spark, sf_dir, store_level))
+    """Dense long panel from the star-schema tables.
+
+    The (series, day) aggregate is checkpointed once (reliable storage): the line-item
+    joins run a single time although the series list and the facts both read it, and a
+    lost executor re-reads that file instead of re-running the joins.
+    """
+    daily = checkpointed(daily_sales(star_facts(spark, sf_dir, store_level)))
     lo, hi = date_bounds(spark, sf_dir)
     calendar = derive_calendar(spark, lo, hi)
     week = Window.partitionBy("id", "wm_yr_wk")
@@ -183,7 +193,7 @@ def raw_tables(spark: SparkSession, sf_dir: str, store_level: str = "region"):
     facts = star_facts(spark, sf_dir, store_level)
     lo, hi = date_bounds(spark, sf_dir)
     calendar = derive_calendar(spark, lo, hi)
-    sales_long = (densify(daily_sales(facts), lo, hi, ["sales"])
+    sales_long = (densify(checkpointed(daily_sales(facts)), lo, hi, ["sales"])
                   .join(F.broadcast(calendar.select("date", "d")), "date")
                   .select(*ID_COLUMNS, "d", F.coalesce(F.col("sales"), F.lit(0)).alias("sales")))
     prices = (facts.join(F.broadcast(calendar.select("date", "wm_yr_wk")), "date")
