@@ -20,6 +20,11 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def floor_zeros(x, floor: float = 0.1) -> Column:
+    """Zeros replaced by a small positive value before a per-series fit."""
+    return F.when(_c(x) == 0, F.lit(floor)).otherwise(_c(x).cast("double"))
+
+
 def log1p_or_zero(x) -> Column:
     return F.log1p(F.coalesce(_c(x), F.lit(0.0)))
 

@@ -295,7 +295,20 @@ def q_leaderboard(spark, sf_dir):
     return board.withColumn("Rank", F.col("Rank").cast("int"))
 
 
-@register("naive_best_model", None)
+@register("naive_best_model", with_panel(f"""
+SELECT arg_min(model, MASE) AS best_model, min(MASE) AS best_MASE, (1.0 - min(MASE)) * 100 AS pct_below_naive
+FROM (
+  SELECT 'seasonal_naive_7' AS model, round_even(e.MAE / (s.naive_mae + 1e-8), 4) AS MASE
+  FROM (SELECT avg(abs(actual - yhat)) AS MAE FROM scored) e, (SELECT avg(e) AS naive_mae FROM hist_err WHERE e IS NOT NULL) s
+  UNION ALL
+  SELECT 'naive_last_value', round_even(e.MAE / (s.naive_mae + 1e-8), 4)
+  FROM (SELECT avg(abs(actual - yhat)) AS MAE FROM scored1) e, (SELECT avg(e) AS naive_mae FROM hist_err WHERE e IS NOT NULL) s
+)""", extra_ctes=NAIVE_CTES + f""",
+fc1 AS (SELECT p.id, CAST(p.sales AS DOUBLE) AS yhat FROM panel p, cut c WHERE p.date = c.val_end),
+scored1 AS (
+  SELECT p.id, greatest(f.yhat, 0.0) AS yhat, CAST(p.sales AS DOUBLE) AS actual
+  FROM fc1 f JOIN panel p ON p.id = f.id, cut c WHERE p.date > c.val_end AND p.date <= c.val_end + {H}
+)"""))
 def q_best(spark, sf_dir):
     """Best model of the leaderboard by MASE."""
     return met.best_model(q_leaderboard(spark, sf_dir))
@@ -308,3 +321,80 @@ def q_naive_failed(spark, sf_dir):
     """M1 failure list: series whose history is shorter than one season (none on a dense panel)."""
     _, _, failed, _, _, _ = naive_scored(spark, sf_dir)
     return failed.select("id", F.col("n_days").cast("int").alias("n_days"))
+
+
+# ---- splits, filters, indices (P3, P4, P8-P11), encodings (A19), best model (T6) ----------
+
+@register("day_split_counts", with_panel("""
+SELECT CASE WHEN CAST(substr(d, 3) AS INTEGER) <= 2471 THEN 'train' ELSE 'test' END AS part,
+       count(*) AS n_rows, count(DISTINCT d) AS n_days
+FROM panel WHERE CAST(substr(d, 3) AS INTEGER) <= 2471 + 28 GROUP BY 1"""))
+def q_day_split(spark, sf_dir):
+    """Split at the day label d_2471 (28 days before the end), test = next 28 days."""
+    panel = build_panel(spark, sf_dir, "region")
+    train, test = fcst.split_by_day(panel, "d_2471", H)
+    fcst.check_horizon(test, H)
+    return (train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+                 .groupBy("part").agg(F.count("*").alias("n_rows"), F.countDistinct("d").alias("n_days")))
+
+
+@register("split_counts", with_panel(f"""
+SELECT CASE WHEN date <= c.train_end THEN 'train' WHEN date <= c.val_end THEN 'val' ELSE 'test' END AS split,
+       count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date
+FROM panel, cut c GROUP BY 1""", extra_ctes=CUT_CTE))
+def q_split_counts(spark, sf_dir):
+    """Three-way date split of the panel."""
+    cut = cutoffs(spark, sf_dir)
+    df = fcst.assign_split(build_panel(spark, sf_dir, "region"), cut["train_end"], cut["val_end"])
+    return df.groupBy("split").agg(F.count("*").alias("n_rows"), F.min("date").alias("first_date"),
+                                   F.max("date").alias("last_date"))
+
+
+@register("benefit_uplift_filtered", with_panel("""
+SELECT cat_id AS Category,
+       greatest(0.0, round_even(CASE WHEN no_snap_mean > 0 THEN (snap_mean - no_snap_mean) / no_snap_mean * 100 ELSE 0.0 END, 1)) AS Avg_Uplift_pct
+FROM (SELECT cat_id, avg(CASE WHEN greatest(snap_CA, snap_TX, snap_WI) = 1 THEN sales END) AS snap_mean,
+             avg(CASE WHEN greatest(snap_CA, snap_TX, snap_WI) = 1 THEN NULL ELSE sales END) AS no_snap_mean
+      FROM panel WHERE coalesce(contains(id, 'evaluation'), false) AND store_id = 'AMERICA'
+                   AND coalesce(contains(cat_id, 'SIZE'), false)
+      GROUP BY cat_id)"""))
+def q_uplift_filtered(spark, sf_dir):
+    """P8 + P9: the dashboard uplift with an id substring test, a store pick and a category
+    substring pick."""
+    from shelfcast.operators import explore as ex
+    panel = ex.filter_panel(build_panel(spark, sf_dir, "region"), id_contains="evaluation")
+    return ex.benefit_uplift_any_state(panel, store="AMERICA", category="SIZE")
+
+
+@register("time_index", with_panel(
+    "SELECT id, date, CAST(datediff('day', (SELECT min(date) FROM panel), date) AS INTEGER) AS time_idx FROM panel"))
+def q_time_index(spark, sf_dir):
+    """P10: integer day index from the first date of the whole panel."""
+    from shelfcast.operators.sequences import time_index
+    return time_index(build_panel(spark, sf_dir, "region").select("id", "date"))
+
+
+@register("sarima_input", with_panel(
+    "SELECT id, date, CASE WHEN sales = 0 THEN 0.1 ELSE CAST(sales AS DOUBLE) END AS y FROM panel"))
+def q_sarima_input(spark, sf_dir):
+    """Series values as fitted (zeros floored at 0.1)."""
+    from shelfcast.functions.numeric import floor_zeros
+    return build_panel(spark, sf_dir, "region").select("id", "date", floor_zeros("sales").alias("y"))
+
+
+@register("encoding_stats", with_panel("""
+SELECT 'item_store_enc' AS level, item_id AS k1, store_id AS k2, round(avg(sales), 6) AS value FROM enc_src GROUP BY item_id, store_id
+UNION ALL SELECT 'dept_store_enc', dept_id, store_id, round(avg(sales), 6) FROM enc_src GROUP BY dept_id, store_id
+UNION ALL SELECT 'cat_store_enc', cat_id, store_id, round(avg(sales), 6) FROM enc_src GROUP BY cat_id, store_id""",
+    extra_ctes=CUT_CTE + ",\nenc_src AS (SELECT p.* FROM panel p, cut c WHERE p.date <= c.train_end)"))
+def q_encoding_stats(spark, sf_dir):
+    """The three target-encoding tables (training span), stacked."""
+    stats = feat.target_encoding_stats(build_panel(spark, sf_dir, "region"), until=cutoffs(spark, sf_dir)["train_end"])
+    parts = []
+    for name, keys in feat.ENCODING_LEVELS.items():
+        parts.append(stats[name].select(F.lit(name).alias("level"), F.col(keys[0]).alias("k1"),
+                                        F.col(keys[1]).alias("k2"), F.col(name).alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return rounded(out)

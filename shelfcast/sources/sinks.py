@@ -46,8 +46,8 @@ def write_features_resumable(features: DataFrame, path: str, column: str = "stor
     done = existing_partitions(spark, path, column)
     todo = features.select(column).distinct().join(done, column, "left_anti")
     pending = features.join(F.broadcast(todo), column, "left_semi")  # one row per store: bounded
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    pending.write.mode("overwrite").partitionBy(column).parquet(path)
+    (pending.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(column).parquet(path))
     return todo
 
 
