@@ -44,11 +44,13 @@ def write_features_resumable(features: DataFrame, path: str, column: str = "stor
     """
     spark = features.sparkSession
     done = existing_partitions(spark, path, column)
-    todo = features.select(column).distinct().join(done, column, "left_anti")
-    pending = features.join(F.broadcast(todo), column, "left_semi")  # one row per store: bounded
-    (pending.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column).parquet(path))
-    return todo
+    # the list of missing stores is fixed before writing (one value per store: bounded)
+    todo = [r[0] for r in features.select(column).distinct().join(done, column, "left_anti").collect()]
+    if todo:
+        (features.filter(F.col(column).isin(todo))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(column).parquet(path))
+    return spark.createDataFrame([(v,) for v in todo], f"{column} string")
 
 
 def read_features(spark: SparkSession, path: str, stores: list[str] | None = None) -> DataFrame:
