@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference pipeline is batch only: every input is a file read, and there is no event-time
+window, watermark, state or late-data handling anywhere in it.  No streaming operator is
+defined here on purpose; the batch operators in ``shelfcast.operators`` are the complete set.
+"""
