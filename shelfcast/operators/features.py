@@ -105,7 +105,7 @@ def add_price_features(df: DataFrame, source: DataFrame | None = None) -> DataFr
     ``df``): far smaller than the panel, broadcast only after a row-count check,
     otherwise joined by shuffle.
     """
-    dept = sized_broadcast(department_day_price(source if source is not None else df))
+    dept = sized_broadcast(department_day_price(source if source is not None else df), derived=True)
     w = series_window()
     prev_week = F.lag("sell_price", 7).over(w)
     df = df.withColumns({
@@ -131,7 +131,7 @@ def target_encoding_stats(df: DataFrame, until=None) -> dict[str, DataFrame]:
 def apply_target_encoding(df: DataFrame, stats: dict[str, DataFrame]) -> DataFrame:
     """Three left joins; unseen keys give NULL."""
     for name, keys in ENCODING_LEVELS.items():
-        df = df.join(sized_broadcast(stats[name]), keys, "left")
+        df = df.join(sized_broadcast(stats[name], derived=True), keys, "left")
     return df
 
 

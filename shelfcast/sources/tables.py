@@ -19,12 +19,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, derived: bool = False) -> DataFrame:
     """Broadcast ``df`` only if it is proven to hold at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows per partition (a limit), so it stays
     cheap for a huge table; beyond the bound the frame is returned unchanged and the
-    planner shuffles it instead.
+    planner shuffles it instead.  A ``derived`` frame (a small aggregate of a big one) is
+    cached first, so the count and the join share one computation (the cache is rebuilt
+    from lineage if an executor is lost).
     """
+    if derived:
+        df = df.cache()
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows:
+        return F.broadcast(df)
+    if derived:
+        df.unpersist()
+    return df
