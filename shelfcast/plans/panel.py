@@ -202,6 +202,15 @@ def raw_tables(spark: SparkSession, sf_dir: str, store_level: str = "region"):
     return sales_long, calendar, prices
 
 
+def to_wide(panel: DataFrame, value: str = "sales") -> DataFrame:
+    """Long panel -> wide sales table (six ids + ``d_1..d_n`` in day order), the layout of
+    the retail sales file.  The pivot values are the calendar's day labels (bounded by the
+    span, at most ``spark.sql.pivotMaxValues``)."""
+    wide = panel.groupBy(*ID_COLUMNS).pivot("d").agg(F.first(value))
+    days = sorted((c for c in wide.columns if c.startswith("d_")), key=lambda c: int(c[2:]))
+    return wide.select(*ID_COLUMNS, *days)
+
+
 def melt_wide(sales_wide: DataFrame) -> DataFrame:
     """Wide ``d_1..d_n`` columns -> long (ids, d, sales) with one unpivot, no chunks."""
     d_cols = [c for c in sales_wide.columns if c.startswith("d_")]

@@ -398,3 +398,13 @@ def q_encoding_stats(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return rounded(out)
+
+
+@register("melt_roundtrip", with_panel(
+    "SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, sales FROM panel"))
+def q_melt(spark, sf_dir):
+    """P1 on a real wide table: the panel pivoted to one row per series with d_1..d_2499,
+    then melted back to long with one unpivot."""
+    from shelfcast.plans.panel import melt_wide, to_wide
+    wide = materialize(to_wide(panel_of(spark, sf_dir)))
+    return melt_wide(wide)
