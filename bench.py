@@ -61,7 +61,7 @@ def main() -> None:
 
     def naive_scorecard():
         fc, _ = fcst.seasonal_naive(p, cut["val_end"], H)
-        scored = fcst.scored_frame(fc, p)
+        scored = fcst.scored_frame(fc, p, cut["val_end"], H)
         hist = p.filter(F.col("date") <= cut["val_end"])
         run(met.mase(scored, hist, "store_id").join(met.wrmsse(scored, hist, cut["val_end"], H, by="store_id"),
                                                      "store_id"))

@@ -15,6 +15,7 @@ from shelfcast.functions import events as ev_fn
 from shelfcast.functions.numeric import pct_change
 from shelfcast.plans.panel import series_window
 from shelfcast.schemas import ID_COLUMNS
+from shelfcast.sources.tables import sized_broadcast
 
 # ---- fixed values -----------------------------------------------------------------
 INTERMITTENT_ZERO_SHARE = 0.5
@@ -192,7 +193,9 @@ def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> Data
     width = F.col("_hi") - F.col("_lo")
     idx = F.coalesce(F.floor(F.try_divide((x - F.col("_lo")) * F.lit(bins), width)), F.lit(0))
     b = F.least(idx, F.lit(bins - 1)).cast("int")
-    out = (src.join(F.broadcast(bounds) if by is None else bounds, keys)
+    # one row per group: broadcast after the size check, so a hot group never meets its
+    # bounds in a single shuffle task
+    out = (src.join(F.broadcast(bounds) if by is None else sized_broadcast(bounds, derived=True), keys)
               .groupBy(*keys, b.alias("bin"))
               .agg(F.count("*").alias("n"), F.first("_lo").alias("lo"), F.first("_hi").alias("hi")))
     out = out.withColumn("bin_start", F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / F.lit(bins))

@@ -101,10 +101,18 @@ def forecast_wide(fc: DataFrame, horizon: int = HORIZON, value: str = "yhat") ->
     return wide.select("id", *[F.col(str(h)).alias(f"F{h}") for h in range(1, horizon + 1)])
 
 
-def scored_frame(fc: DataFrame, panel: DataFrame) -> DataFrame:
-    """Forecast rows with the actual sales of the same (id, date) and the series' groups."""
-    actual = panel.select("id", "date", F.col("sales").cast("double").alias("actual"),
-                          "store_id", "cat_id", "dept_id", "state_id", "item_id")
+def scored_frame(fc: DataFrame, panel: DataFrame, cutoff=None, horizon: int | None = None) -> DataFrame:
+    """Forecast rows with the actual sales of the same (id, date) and the series' groups.
+
+    With ``cutoff``/``horizon`` the panel is first restricted to the forecast days, so only
+    series x horizon rows take part in the join instead of the whole history.
+    """
+    src = panel
+    if cutoff is not None and horizon is not None:
+        cut = _date(cutoff)
+        src = panel.filter((F.col("date") > cut) & (F.col("date") <= F.date_add(cut, horizon)))
+    actual = src.select("id", "date", F.col("sales").cast("double").alias("actual"),
+                        "store_id", "cat_id", "dept_id", "state_id", "item_id")
     return fc.join(actual, ["id", "date"])
 
 

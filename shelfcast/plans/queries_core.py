@@ -165,7 +165,7 @@ def naive_scored(spark, sf_dir, season: int = 7, level: str = "region"):
     cut = cutoffs(spark, sf_dir)
     fc, failed = fcst.seasonal_naive(panel, cut["val_end"], H, season)
     history = panel.filter(F.col("date") <= cut["val_end"])
-    return panel, fc, failed, fcst.scored_frame(fc, panel), history, cut
+    return panel, fc, failed, fcst.scored_frame(fc, panel, cut["val_end"], H), history, cut
 
 
 @register("naive_forecast", with_panel(
@@ -296,7 +296,7 @@ def q_leaderboard(spark, sf_dir):
     """E5 + E7 + T5: reports of two naive variants (season 7 and 1) ranked by MAE."""
     panel, _, _, scored7, history, cut = naive_scored(spark, sf_dir)
     fc1, _ = fcst.seasonal_naive(panel, cut["val_end"], H, 1)
-    scored1 = fcst.scored_frame(fc1, panel)
+    scored1 = fcst.scored_frame(fc1, panel, cut["val_end"], H)
     reports = [met.evaluate(scored7, history, "seasonal_naive_7"),
                met.evaluate(scored1, history, "naive_last_value")]
     board = met.leaderboard(reports)

@@ -124,7 +124,7 @@ def q_model_board(spark, sf_dir):
     """E7 + T5: seasonal naive, SARIMA and boosted trees on one common test span (trap D14)."""
     panel, fc_naive, _, scored_naive, history, cut = naive_scored(spark, sf_dir)
     _, _, fc_s, _ = _sarima(spark, sf_dir)
-    scored_s = fcst.scored_frame(fc_s.select("id", "h", "date", "yhat"), panel)
+    scored_s = fcst.scored_frame(fc_s.select("id", "h", "date", "yhat"), panel, cut["val_end"], H)
     scored_q, history_q, _, _ = _quantile_scored(spark, sf_dir)
     reports = [met.evaluate(scored_naive, history, "seasonal_naive_7"),
                met.evaluate(scored_s, history, "sarima"),
