@@ -132,7 +132,9 @@ def densify(daily: DataFrame, lo: Column, hi: Column, value_cols: list[str]) ->
     is a (series, day) aggregate: a hot series in the raw data is already one row per day.
     """
     facts = daily.select("id", "date", *value_cols).repartition("id")
-    series = daily.select(*ID_COLUMNS).repartition("id").dropDuplicates(["id"])
+    # the other id columns are functions of ``id``: a plain distinct (hash aggregate, no
+    # buffers) on the id partitioning, no further exchange
+    series = daily.select(*ID_COLUMNS).repartition("id").distinct()
     grid = series.select(*ID_COLUMNS, F.explode(F.sequence(lo, hi)).alias("date"))
     return grid.join(facts, ["id", "date"], "left")
 

@@ -13,6 +13,7 @@ from shelfcast.operators import models as mdl
 from shelfcast.operators.sarima import sarima_forecast
 from shelfcast.operators.sequences import sequence_windows
 from shelfcast.plans.catalog import register, rounded
+from shelfcast.plans.oracle_sql import panel_ctes
 from shelfcast.plans.queries_core import H, cutoffs, naive_scored, panel_of
 from shelfcast.sources.sinks import materialize
 
@@ -143,3 +144,25 @@ def q_sequences(spark, sf_dir):
     panel = panel_of(spark, sf_dir)
     features = feat.add_benefit_flag(feat.add_event_features(feat.add_calendar_features(panel)))
     return rounded(sequence_windows(features))
+
+
+@register("sequence_windows_text", "WITH " + panel_ctes() + """,
+w AS (
+  SELECT id, date, CAST(datediff('day', (SELECT min(date) FROM panel), date) AS INTEGER) AS time_idx,
+         list(sales) OVER (PARTITION BY id ORDER BY date ROWS BETWEEN 55 PRECEDING AND CURRENT ROW) AS enc,
+         list(sales) OVER (PARTITION BY id ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 28 FOLLOWING) AS dec,
+         avg(CAST(sales AS DOUBLE)) OVER (PARTITION BY id) AS m,
+         coalesce(stddev_samp(CAST(sales AS DOUBLE)) OVER (PARTITION BY id), 0.0) AS sd
+  FROM panel
+)
+SELECT id, date, time_idx, array_to_string(enc, ',') AS encoder_target, array_to_string(dec, ',') AS decoder_target,
+       round(m, 6) AS target_mean, round(sd, 6) AS target_std
+FROM w WHERE len(enc) = 56 AND len(dec) = 28""")
+def q_sequences_text(spark, sf_dir):
+    """M9 windows in text form for the oracle: the 56 encoder and 28 decoder values of
+    every full window, comma-joined (whole panel)."""
+    panel = panel_of(spark, sf_dir)
+    seq = sequence_windows(panel, known=[], static=[])
+    as_text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("int").cast("string")), ",")
+    return rounded(seq.select("id", "date", "time_idx", as_text(F.col("encoder_target")).alias("encoder_target"),
+                              as_text(F.col("decoder_target")).alias("decoder_target"), "target_mean", "target_std"))

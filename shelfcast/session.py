@@ -61,6 +61,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared "
+                           "folder (HDFS, S3, ...); a machine-local folder would not survive an "
+                           "executor loss")
     local = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
