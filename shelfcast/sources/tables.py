@@ -22,11 +22,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, derived: bool = False) -> DataFrame:
     """Broadcast ``df`` only if it is proven to hold at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows per partition (a limit), so it stays
-    cheap for a huge table; beyond the bound the frame is returned unchanged and the
-    planner shuffles it instead.  A ``derived`` frame (a small aggregate of a big one) is
-    cached first, so the count and the join share one computation (the cache is rebuilt
-    from lineage if an executor is lost).
+    Meant for small *derived* tables (aggregates of a big table), whose planner size
+    estimates are unreliable.  The check counts at most ``max_rows + 1`` rows per
+    partition; beyond the bound the frame is returned unchanged and the planner shuffles
+    it instead.  A ``derived`` frame is cached first, so the count and the join share one
+    computation (the cache is rebuilt from lineage if an executor is lost).  Base tables
+    need no call: the planner sizes them from file statistics.
     """
     if derived:
         df = df.cache()
