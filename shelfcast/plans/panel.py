@@ -78,13 +78,13 @@ def star_facts(spark: SparkSession, sf_dir: str, store_level: str = "region") ->
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     geo = store_geography(spark, sf_dir, store_level)
-    supp_geo = (supp.join(F.broadcast(geo), supp.s_nationkey == geo.n_nationkey)
-                    .select("s_suppkey", "store_id", "state_id"))
-    # part and supplier grow with the data: no hint.  Their size is checked by the planner
-    # from file statistics (spark.sql.autoBroadcastJoinThreshold, re-checked at run time by
-    # AQE); beyond it the join is a sort-merge join with AQE skew splitting.
+    # part and supplier grow with the data: no hint.  Joined as plain scans, they are sized
+    # by the planner from file statistics (spark.sql.autoBroadcastJoinThreshold, re-checked
+    # at run time by AQE); beyond it the join is a sort-merge join with AQE skew splitting.
+    # The nation -> store geography is fixed-size (25 rows) and broadcast explicitly.
     facts = (li.join(part, li.l_partkey == F.col("p_partkey"))
-               .join(supp_geo, li.l_suppkey == F.col("s_suppkey"))
+               .join(supp, li.l_suppkey == F.col("s_suppkey"))
+               .join(F.broadcast(geo), F.col("s_nationkey") == geo.n_nationkey)
                .select(F.to_date("l_shipdate").alias("date"),
                        F.col("p_type").alias("item_id"), "store_id", "state_id",
                        F.col("l_quantity").alias("qty"),
