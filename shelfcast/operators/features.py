@@ -120,18 +120,30 @@ def add_price_features(df: DataFrame, source: DataFrame | None = None) -> DataFr
 def target_encoding_stats(df: DataFrame, until=None) -> dict[str, DataFrame]:
     """Mean sales per (item, store), (dept, store), (cat, store).
 
-    ``until`` (a date or Column) restricts the rows to the training span; ``None`` uses
-    every date, test days included, which is what the reference does (trap D3).
+    One GROUPING SETS aggregate computes all three levels in a single scan of the panel
+    (partial aggregation before the shuffle); each level is a filter of it.  ``until``
+    (a date or Column) restricts the rows to the training span; ``None`` uses every date,
+    test days included, which is what the reference does (trap D3).
     """
     src = df if until is None else df.filter(F.col("date") <= (until if isinstance(until, Column) else F.lit(until).cast("date")))
-    return {name: src.groupBy(*keys).agg(F.avg("sales").alias(name))
-            for name, keys in ENCODING_LEVELS.items()}
+    keys = ["item_id", "dept_id", "cat_id", "store_id"]
+    sets = [ENCODING_LEVELS[name] for name in ENCODING_LEVELS]
+    # cached: the three levels and their size checks read one computation of it (small:
+    # one row per key of each level; rebuilt from lineage if an executor is lost)
+    allstats = (src.groupingSets(sets, *keys)
+                   .agg(F.avg("sales").alias("enc"), F.grouping_id().alias("_gid"))).cache()
+    out = {}
+    for name, level_keys in ENCODING_LEVELS.items():
+        gid = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in level_keys)
+        out[name] = allstats.filter(F.col("_gid") == gid).select(*level_keys, F.col("enc").alias(name))
+    return out
 
 
 def apply_target_encoding(df: DataFrame, stats: dict[str, DataFrame]) -> DataFrame:
-    """Three left joins; unseen keys give NULL."""
+    """Three left joins; unseen keys give NULL.  Each table has one row per key of its
+    level (bounded by the series count), broadcast after the row-count check."""
     for name, keys in ENCODING_LEVELS.items():
-        df = df.join(sized_broadcast(stats[name], derived=True), keys, "left")
+        df = df.join(sized_broadcast(stats[name]), keys, "left")
     return df
 
 
