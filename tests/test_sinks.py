@@ -65,3 +65,14 @@ def test_model_save_load(spark, tmpdir_path):
     p1 = [r["yhat"] for r in mdl.predict_point(model, df).orderBy("a").collect()]
     p2 = [r["yhat"] for r in mdl.predict_point(again, df).orderBy("a").collect()]
     assert p1 == p2 and min(p1) >= 0
+
+
+def test_checkpoint_dir_must_be_shared_on_a_cluster():
+    from types import SimpleNamespace
+
+    from shelfcast.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda *a, **k: None)
+    sc = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None, getConf=lambda: conf,
+                         setCheckpointDir=lambda d: None)
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
