@@ -3,6 +3,7 @@ one row per series x horizon; quantile bands are ordered."""
 import datetime as dt
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.operators import sarima
@@ -23,11 +24,36 @@ def _simulate(n=900, seed=4):
 
 def test_hannan_rissanen_recovers_coefficients():
     w, _ = _simulate()
-    b, lags, _, _ = sarima._fit(w, p=1, q=0)
+    b, lags, _, _ = sarima.fit_numpy(w, p=1, q=0)
     coef = dict(zip(lags, b))
     assert abs(coef[1] - 0.5) < 0.08 and abs(coef[7] - 0.3) < 0.08 and abs(coef[8] + 0.15) < 0.08
 
 
+def test_spark_fit_equals_numpy_fit(spark):
+    """Grouped normal equations in Spark give the same forecasts and AIC as a direct
+    least-squares fit of each series in numpy."""
+    _, y = _simulate(400, 21)
+    y = np.round(np.clip(y, 0, None))
+    rows = [("a", dt.date(2020, 1, 1) + dt.timedelta(days=i), float(v)) for i, v in enumerate(y)]
+    rows += [("b", dt.date(2020, 1, 1) + dt.timedelta(days=i), float(v) + 7) for i, v in enumerate(y)]
+    hist = spark.createDataFrame(rows, "id string, date date, sales double")
+    for auto in (False, True):
+        fc, _ = sarima.sarima_forecast(hist, dt.date(2021, 12, 31), horizon=14, auto=auto)
+        got = fc.toPandas().sort_values(["id", "h"])
+        for sid, off in (("a", 0.0), ("b", 7.0)):
+            g = got[got["id"] == sid]
+            p, q = int(g["p"].iloc[0]), int(g["q"].iloc[0])
+            if not auto:
+                assert (p, q) == sarima.DEFAULT_ORDER
+            exp, aic = sarima.forecast_numpy(y + off, 14, p, q)
+            np.testing.assert_allclose(g["yhat"].to_numpy(), exp, rtol=1e-6, atol=1e-6)
+            assert g["aic"].iloc[0] == pytest.approx(aic, rel=1e-6)
+            if auto:
+                best = min(sarima.forecast_numpy(y + off, 14, pp, qq)[1]
+                           for pp in range(sarima.AUTO_MAX_P + 1) for qq in range(sarima.AUTO_MAX_Q + 1))
+                assert aic == pytest.approx(best, rel=1e-6)
+
+
 def test_sarima_grouped_forecast(spark):
     _, y = _simulate(300, 9)
     rows = [(sid, dt.date(2020, 1, 1) + dt.timedelta(days=i), float(max(v + off, 0)))
