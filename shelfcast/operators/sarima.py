@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import floor_zeros
 from shelfcast.plans.panel import series_window
+from shelfcast.session import ship_package
 from shelfcast.sources.tables import sized_broadcast
 
 # ---- fixed values ----------------------------------------------------------------
@@ -177,6 +178,7 @@ def sarima_forecast(history: DataFrame, cutoff, horizon: int = 28, order: tuple[
                     auto: bool = False) -> tuple[DataFrame, DataFrame]:
     """M2 (fixed order) / M3 (``auto``): forecasts (id, h, date, yhat, p, q, aic) for every
     series and the failure list (id, error).  ``history`` is the dense panel up to ``cutoff``."""
+    ship_package(history.sparkSession)
     cut = cutoff if isinstance(cutoff, Column) else F.lit(cutoff).cast("date")
     m = LONG_AR
     w = series_window()

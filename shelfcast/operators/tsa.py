@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.session import ship_package
 
 # ---- fixed values ---------------------------------------------------------------------
 PERIOD = 7
@@ -129,6 +130,7 @@ def _levinson(r: np.ndarray) -> np.ndarray:
 def pacf(df: DataFrame, key: str = "id", value: str = "sales", nlags: int = PACF_LAGS) -> DataFrame:
     """Yule-Walker (biased autocovariance) partial autocorrelation per key: X2 in Spark,
     then the recursion on each key's ``nlags + 1`` numbers in a grouped pandas function."""
+    ship_package(df.sparkSession)
     r = acf(df, key, value, nlags)
     key_type = df.schema[key].dataType.simpleString()
 
@@ -189,6 +191,7 @@ def adf_statistic(y: np.ndarray, maxlag: int | None = None) -> dict:
 
 def adf(df: DataFrame, key: str = "id", value: str = "sales") -> DataFrame:
     """X4 per key: one grouped pandas call per series (bounded by the calendar length)."""
+    ship_package(df.sparkSession)
     key_type = df.schema[key].dataType.simpleString()
     schema = (f"{key} {key_type}, adf_stat double, used_lag int, nobs int, crit_1 double, crit_5 double, "
               "crit_10 double, stationary_5pct boolean")
