@@ -79,7 +79,7 @@ def q_zero_dept(spark, sf_dir):
 
 
 @register("intermittency", with_panel("""
-SELECT CAST(sum(CAST(zero_rate > 0.5 AS INTEGER)) AS INTEGER) AS n_intermittent, count(*) AS n_series,
+SELECT CAST(sum(CAST(zero_rate > 0.5 AS INTEGER)) AS BIGINT) AS n_intermittent, count(*) AS n_series,
        round(avg(CAST(zero_rate > 0.5 AS DOUBLE)) * 100, 6) AS intermittent_pct,
        round(avg(zero_rate) * 100, 6) AS mean_zero_pct
 FROM (SELECT id, avg(CAST(sales = 0 AS DOUBLE)) AS zero_rate FROM panel GROUP BY id)"""))
