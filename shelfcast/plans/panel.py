@@ -11,12 +11,9 @@ Two ways in:
 
 Plan shape of ``build_panel``:
   lineitem (5 columns read) -> join part / supplier (broadcast if the planner's size check
-  admits them, else sort-merge) -> partial
-  agg by (item, store, day) -> exchange -> final agg -> checkpoint (written once);
-  checkpoint -> exchange by id -> series list -> explode the day sequence --+
-  checkpoint -> exchange by id ---------------------------------------------+-> left
-  join on (id, date), co-partitioned, no exchange -> broadcast calendar -> windows by
-  id (no further exchange).
+  admits them, else sort-merge) -> partial agg by (item, store, day) -> exchange -> final
+  agg -> exchange by id -> window (row number, next fact day) -> explode the days up to
+  the next fact -> broadcast calendar -> windows by id (no further exchange).
 Every series has exactly one row per day, so a window partition by ``id`` never holds
 more than the number of days: a hot series in the line items cannot form a hot key here.
 """
@@ -29,7 +26,6 @@ from pyspark.sql import functions as F
 from shelfcast.functions import calendar as cal_fn
 from shelfcast.functions import events as ev_fn
 from shelfcast.schemas import CALENDAR_COLUMNS, ID_COLUMNS, PANEL_COLUMNS
-from shelfcast.session import ensure_checkpoint_dir
 from shelfcast.sources.tables import read_table
 
 # ---- fixed values of our star-schema mapping (see FIXTURES.md part B) --------------------
@@ -112,11 +108,6 @@ def daily_sales(facts: DataFrame) -> DataFrame:
     return with_hierarchy(daily)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def date_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
     """First and last ship day as scalar subqueries over one column of the line items
     (lazy; nothing goes through the driver, no join is repeated)."""
@@ -127,20 +118,26 @@ def date_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
 
 
 def densify(daily: DataFrame, lo: Column, hi: Column, value_cols: list[str]) -> DataFrame:
-    """Dense (series x day) rows from sparse daily rows.
-
-    The series list and the facts are both hash-partitioned by ``id``; the grid is
-    generated per series by ``explode(sequence(lo, hi))``, which keeps that partitioning,
-    so the left join on (id, date) and every later per-series window run without another
-    exchange (``spark.sql.requireAllClusterKeysForCoPartition=false``).  The sparse side
-    is a (series, day) aggregate: a hot series in the raw data is already one row per day.
+    """Dense (series x day) rows from sparse daily rows, in one window pass and no join.
+
+    Over ``partition by id order by date`` each fact row generates its own day and every
+    day up to (not including) the series' next fact day, or up to ``hi`` for the last row;
+    the first row also generates the days from ``lo``.  Value columns are kept only on the
+    fact's own day.  The window's exchange by ``id`` is the only shuffle; ``explode``
+    keeps that partitioning, so every later per-series window reuses it.  A window
+    partition holds one series' active days (bounded by the calendar), never a hot key's
+    raw rows: those were merged by the partial aggregation before.
     """
-    facts = daily.select("id", "date", *value_cols).repartition("id")
-    # the other id columns are functions of ``id``: a plain distinct (hash aggregate, no
-    # buffers) on the id partitioning, no further exchange
-    series = daily.select(*ID_COLUMNS).repartition("id").distinct()
-    grid = series.select(*ID_COLUMNS, F.explode(F.sequence(lo, hi)).alias("date"))
-    return grid.join(facts, ["id", "date"], "left")
+    w = Window.partitionBy("id").orderBy("date")
+    first = F.row_number().over(w) == 1
+    nxt = F.lead("date").over(w)
+    x = daily.withColumns({"_first": first, "_next": nxt})
+    begin = F.when(F.col("_first"), lo).otherwise(F.col("date"))
+    finish = F.coalesce(F.date_sub(F.col("_next"), 1), hi)
+    x = x.withColumn("_day", F.explode(F.sequence(begin, finish)))
+    own = F.col("_day") == F.col("date")
+    return x.select(*ID_COLUMNS, F.col("_day").alias("date"),
+                    *[F.when(own, F.col(c)).alias(c) for c in value_cols])
 
 
 def calendar_attributes(day_number: Column, date: Column) -> list[Column]:
@@ -176,13 +173,9 @@ def detect_stockouts(df: DataFrame) -> DataFrame:
 
 
 def build_panel(spark: SparkSession, sf_dir: str, store_level: str = "region") -> DataFrame:
-    """Dense long panel from the star-schema tables.
-
-    The (series, day) aggregate is checkpointed once (reliable storage): the line-item
-    joins run a single time although the series list and the facts both read it, and a
-    lost executor re-reads that file instead of re-running the joins.
-    """
-    daily = checkpointed(daily_sales(star_facts(spark, sf_dir, store_level)))
+    """Dense long panel from the star-schema tables: line items scanned once, two
+    exchanges (the (item, store, day) aggregate, then ``id`` for every per-series window)."""
+    daily = daily_sales(star_facts(spark, sf_dir, store_level))
     lo, hi = date_bounds(spark, sf_dir)
     calendar = derive_calendar(spark, lo, hi)
     week = Window.partitionBy("id", "wm_yr_wk")
@@ -199,7 +192,7 @@ def raw_tables(spark: SparkSession, sf_dir: str, store_level: str = "region"):
     facts = star_facts(spark, sf_dir, store_level)
     lo, hi = date_bounds(spark, sf_dir)
     calendar = derive_calendar(spark, lo, hi)
-    sales_long = (densify(checkpointed(daily_sales(facts)), lo, hi, ["sales"])
+    sales_long = (densify(daily_sales(facts), lo, hi, ["sales"])
                   .join(F.broadcast(calendar.select("date", "d")), "date")
                   .select(*ID_COLUMNS, "d", F.coalesce(F.col("sales"), F.lit(0)).alias("sales")))
     prices = (facts.join(F.broadcast(calendar.select("date", "wm_yr_wk")), "date")
