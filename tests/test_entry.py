@@ -29,7 +29,8 @@ def _norm(v):
 
 
 @pytest.mark.parametrize("name", ["panel", "features", "naive_scorecard_by_store", "decomposition",
-                                  "event_window_effect", "display_band"])
+                                  "event_window_effect", "display_band", "series_acf", "dataset_profile",
+                                  "sequence_windows_text", "benefit_uplift_by_category"])
 def test_oracle_agrees(spark, name):
     con = duckdb.connect()
     for t in TABLES:
