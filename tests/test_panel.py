@@ -74,3 +74,22 @@ def test_forecast_wide_roundtrip(spark):
     fc = spark.createDataFrame([("a", h, float(h)) for h in range(1, 29)], "id string, h int, yhat double")
     wide = fcst.forecast_wide(fc).first()
     assert wide["F1"] == 1.0 and wide["F28"] == 28.0
+
+
+def test_to_wide_orders_days_numerically(spark):
+    rows = [(f"i_s_evaluation", "i", "D_1", "D", "s", "CA", f"d_{k}", k) for k in (1, 2, 10, 11, 100)]
+    df = spark.createDataFrame(rows, "id string, item_id string, dept_id string, cat_id string, "
+                                     "store_id string, state_id string, d string, sales int")
+    wide = pn.to_wide(df)
+    assert [c for c in wide.columns if c.startswith("d_")] == ["d_1", "d_2", "d_10", "d_11", "d_100"]
+    back = {r["d"]: r["sales"] for r in pn.melt_wide(wide).collect()}
+    assert back == {"d_1": 1, "d_2": 2, "d_10": 10, "d_11": 11, "d_100": 100}
+
+
+def test_check_horizon_raises_on_short_test_span(spark):
+    rows = [("x", f"d_{k}", 1) for k in range(1, 11)]
+    df = spark.createDataFrame(rows, "id string, d string, sales int")
+    train, test = fcst.split_by_day(df, "d_5", horizon=28)
+    assert train.count() == 5
+    with pytest.raises(ValueError):
+        fcst.check_horizon(test, 28)
