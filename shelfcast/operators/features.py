@@ -98,14 +98,18 @@ def department_day_price(df: DataFrame) -> DataFrame:
               .agg(F.avg("sell_price").alias("_dept_mean")))
 
 
-def add_price_features(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+def add_price_features(df: DataFrame, source: DataFrame | None = None,
+                       dept_means: DataFrame | None = None) -> DataFrame:
     """F9, W5, W6.
 
-    The department mean is a (store x dept x day) aggregate of ``source`` (default:
-    ``df``): far smaller than the panel, broadcast only after a row-count check,
-    otherwise joined by shuffle.
+    The department mean is a (store x dept x day) aggregate (``dept_means``, or computed
+    from ``source`` / ``df``): far smaller than the panel, broadcast only after a row-count
+    check, otherwise joined by shuffle.
     """
-    dept = sized_broadcast(department_day_price(source if source is not None else df), derived=True)
+    if dept_means is not None:
+        dept = sized_broadcast(dept_means)
+    else:
+        dept = sized_broadcast(department_day_price(source if source is not None else df), derived=True)
     w = series_window()
     prev_week = F.lag("sell_price", 7).over(w)
     df = df.withColumns({
@@ -153,20 +157,43 @@ def feature_columns(df: DataFrame) -> list[str]:
             if f.name not in EXCLUDED_COLUMNS and isinstance(f.dataType, T.NumericType)]
 
 
+def panel_statistics(panel: DataFrame, until=None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Department-day mean price (J3) and the three encodings (A19) in one pass over the
+    panel: a single cached GROUPING SETS aggregate; the encodings average only the rows up
+    to ``until`` (all rows when ``None``), the department mean uses every day."""
+    keys = ["item_id", "dept_id", "cat_id", "store_id", "date"]
+    dept_keys = ["store_id", "dept_id", "date"]
+    sets = [ENCODING_LEVELS[name] for name in ENCODING_LEVELS] + [dept_keys]
+    cut = None if until is None else (until if isinstance(until, Column) else F.lit(until).cast("date"))
+    enc_sales = F.col("sales") if cut is None else F.when(F.col("date") <= cut, F.col("sales"))
+    allstats = (panel.groupingSets(sets, *keys)
+                     .agg(F.avg(enc_sales).alias("enc"), F.avg("sell_price").alias("_dept_mean"),
+                          F.grouping_id().alias("_gid"))).cache()
+
+    def gid(level_keys):
+        return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in level_keys)
+
+    stats = {name: allstats.filter(F.col("_gid") == gid(level_keys)).select(*level_keys, F.col("enc").alias(name))
+             for name, level_keys in ENCODING_LEVELS.items()}
+    dept = allstats.filter(F.col("_gid") == gid(dept_keys)).select(*dept_keys, "_dept_mean")
+    return dept, stats
+
+
 def build_features(panel: DataFrame, stats: dict[str, DataFrame] | None = None, until=None,
                    min_date=None, is_train: bool = True) -> DataFrame:
     """Feature matrix: the seven feature groups, burn-in (P5) and longest-lag filter.
 
     ``stats`` are reused encodings (inference); when absent they are computed from the
-    panel up to ``until``.
+    panel up to ``until``, in the same pass as the department-day mean price.
     """
-    stats = stats or target_encoding_stats(panel, until)
+    dept, own_stats = panel_statistics(panel, until)
+    stats = stats or own_stats
     df = add_lag_features(panel)
     df = add_rolling_features(df)
     df = add_calendar_features(df)
     df = add_event_features(df)
     df = add_benefit_flag(df)
-    df = add_price_features(df, source=panel)
+    df = add_price_features(df, dept_means=dept)
     df = apply_target_encoding(df, stats)
     if is_train and min_date is not None:
         df = df.filter(F.col("date") >= F.lit(min_date).cast("date"))
