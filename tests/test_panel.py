@@ -93,3 +93,16 @@ def test_check_horizon_raises_on_short_test_span(spark):
     assert train.count() == 5
     with pytest.raises(ValueError):
         fcst.check_horizon(test, 28)
+
+
+def test_panel_is_dense_on_sparse_data(spark):
+    """D1 at sf0.001 (most series-days have no sale): one row per (series, day) over the
+    whole span, days numbered without gaps."""
+    panel = pn.build_panel(spark, "/root/testdata/sf0.001", "region")
+    stats = panel.agg(F.count("*").alias("n"), F.countDistinct("id").alias("s"),
+                      F.countDistinct("date").alias("d"), F.min("date").alias("lo"),
+                      F.max("date").alias("hi")).first()
+    assert stats["n"] == stats["s"] * stats["d"]
+    assert stats["d"] == (stats["hi"] - stats["lo"]).days + 1
+    assert panel.groupBy("id", "date").count().filter("count > 1").count() == 0
+    assert panel.filter(F.col("sales") > 0).count() < stats["n"] // 2
