@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import mixing, quality_rules
+from shelfcast.llm import mixing, packing, quality_rules
 from shelfcast.llm.common import read
 from shelfcast.session import ship_package
 
@@ -123,3 +124,9 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _op9(spark, sf_dir)
     return out.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), "lang", "source",
                       "n_chars", F.col("mixed.n_copies").alias("n_copies"), F.col("mixed.copy").alias("copy"))
+
+
+@query()
+def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document tokenized, cut and packed into windows of 4096 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
