@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import mixing, packing, quality_rules
-from shelfcast.llm.common import read
+from shelfcast.llm import language_id, mixing, packing, quality_rules
+from shelfcast.llm.common import crc_mod, read
 from shelfcast.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,14 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document tokenized, cut and packed into windows of 4096 tokens."""
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned on two of three id folds."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    model = language_id.fit(docs.filter(~held_out))
+    out = language_id.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"),
+                      F.col("language.score").alias("score"))
