@@ -97,7 +97,7 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
     by_word = let(words(t), lambda w: F.struct(F.size(w).alias("n"), _repeat_words(w).alias("repeat")))
     with_word = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    kept = [c for c in docs.columns if c != text]
+    kept = [c for c in docs.columns if c not in (text, "counts")]
     parts = docs.select(
         *kept, by_word.alias("__w"), let(with_word, _line_stats).alias("__l"),
         F.char_length(_without(t, SEPARATORS)).alias("__chars"),

@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import language_id, mixing, packing, quality_rules
+from shelfcast.llm import language_id, mixing, packing, quality_classifier, quality_rules
 from shelfcast.llm.common import crc_mod, read
 from shelfcast.session import ship_package
+from shelfcast.sources.sinks import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,3 +142,16 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = language_id.predict(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"),
                       F.col("language.score").alias("score"))
+
+
+@query()
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text, ranked from pairs of three of four id folds."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    labels = read(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "quality")
+    counted = materialize(quality_classifier.feature_counts(docs))
+    model = quality_classifier.fit(counted, labels)
+    out = quality_classifier.score(counted, model)
+    return out.select("doc_id", held_out.alias("held_out"), "score",
+                      (F.col("score") >= quality_classifier.CUT).cast("int").alias("predicted"))
