@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import language_id, mixing, packing, quality_classifier, quality_rules
+from shelfcast.llm import language_id, mixing, packing, pii, quality_classifier, quality_rules
 from shelfcast.llm.common import crc_mod, read
 from shelfcast.session import ship_package
 from shelfcast.sources.sinks import materialize
@@ -155,3 +155,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_classifier.score(counted, model)
     return out.select("doc_id", held_out.alias("held_out"), "score",
                       (F.col("score") >= quality_classifier.CUT).cast("int").alias("predicted"))
+
+
+@query()
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text: base spans and those the classifier adds."""
+    found = pii.find(read(spark, sf_dir, "documents"))
+    n = [F.size(F.array_remove(F.transform("base", lambda s: s["kind"] == F.lit(pii.KINDS.index(k))), False)).cast("long")
+         .alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return found.select("doc_id", *n, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+                        pii.listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
