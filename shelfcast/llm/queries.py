@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import language_id, mixing, packing, pii, quality_classifier, quality_rules
+from shelfcast.llm import language_id, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
 from shelfcast.llm.common import crc_mod, read
 from shelfcast.session import ship_package
 from shelfcast.sources.sinks import materialize
@@ -165,3 +165,9 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias(f"n_{k}") for k in pii.BASE_KINDS]
     return found.select("doc_id", *n, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
                         pii.listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
+@query()
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle-set size and near-duplicate component of every document."""
+    return ngram_join.components(read(spark, sf_dir, "documents"))
