@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import language_id, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
+from shelfcast.llm import embedding_dedup, language_id, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
 from shelfcast.llm.common import crc_mod, read
 from shelfcast.session import ship_package
 from shelfcast.sources.sinks import materialize
@@ -171,3 +171,9 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle-set size and near-duplicate component of every document."""
     return ngram_join.components(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of links and component of every vector at cosine 0.9."""
+    return embedding_dedup.components(read(spark, sf_dir, "embeddings"))
