@@ -10,12 +10,13 @@ windows unfilled.
 Defined results: NULL and empty texts give one piece holding only the end id; repeated
 rows give one set of pieces each; an empty table gives no rows; input columns other than
 the key and the text are not used.  The text is split at ASCII white space, across which
-the tokenizer never merges; each distinct word of a batch is encoded once by the library.
+the tokenizer never merges ids; each distinct word of a batch is encoded once by the library.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,12 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import row_count
+from shelfcast.llm.text_arrays import LOWER, flat
 
 WINDOW = 4096
 END_ID = 2
 SHARD_ROWS = 8192
 #: Bytes of text tokenized at a time, distinct words kept encoded, and words expanded at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 CACHE_WORDS = 400_000
 EXPAND_WORDS = 500_000
 
@@ -96,37 +98,60 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path), {}
 
 
+#: Marks that the tokenizer always parts from an ASCII letter before them.
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[list(b".,;:!?*$%&#()=")] = True
+
+
+def _plain(texts: pa.Array) -> pa.Array:
+    """The same texts in ASCII lower case and with a space between an ASCII letter and a
+    mark after it.  The tokenizer lower-cases, parts letters from marks and drops white
+    space itself, so the ids are the same, but far fewer words are distinct.  Texts with
+    "<|", which may spell a special token, are left as they are."""
+    data, offsets = flat(texts)
+    if not len(data) or b"<|" in data.tobytes():
+        return pc.fill_null(texts, "")
+    part = np.zeros(len(data), bool)
+    part[1:] = _MARK[data[1:]] & _LETTER[data[:-1]]
+    first = offsets[:-1]
+    part[first[first < len(data)]] = False
+    shift = np.cumsum(part, dtype=np.int64)
+    out = np.full(len(data) + int(shift[-1]), 32, np.uint8)
+    out[np.arange(len(data)) + shift] = LOWER[data]
+    moved = offsets + np.concatenate([[0], shift])[offsets]
+    if moved[-1] < 1 << 31:
+        return pa.StringArray.from_buffers(len(texts), pa.py_buffer(moved.astype(np.int32)), pa.py_buffer(out))
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(moved), pa.py_buffer(out))
+
+
 def encode_texts(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts one after the other, number of ids of each text)."""
     tokenizer, cache = _tokenizer(path)
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    lists = pc.ascii_split_whitespace(_plain(texts))
     per_text = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = lists.flatten().dictionary_encode()
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
-    distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    if len(cache) > CACHE_WORDS:  # drop the older half
+        for w in list(cache)[:CACHE_WORDS // 2]:
+            del cache[w]
     new = [w for w in distinct if w not in cache]
     for w, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-        cache[w] = np.array(e.ids, "<u4").tobytes()
+        cache[w] = array("I", e.ids).tobytes()
     encoded = [cache[w] for w in distinct]
-    size = np.array([len(x) // 4 for x in encoded], np.int64)
-    first, pool = np.cumsum(size) - size, np.frombuffer(b"".join(encoded), "<u4")
-    of_word = size[at] if len(at) else np.zeros(0, np.int64)
+    encoded.append(array("I", [end_id]).tobytes())  # the end of a text counts as one more word
+    size = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+    pool = np.frombuffer(b"".join(encoded), np.uint32)
+    word = np.full(len(coded) + len(per_text), len(distinct), np.int32)
     text_of_word = np.repeat(np.arange(len(per_text)), per_text)
-    n_ids = np.bincount(text_of_word, of_word, len(per_text)).astype(np.int64) + 1
-    out = np.full(int(n_ids.sum()), end_id, "<u4")
-    done = 0
-    for a in range(0, len(at), EXPAND_WORDS):
-        n = of_word[a:a + EXPAND_WORDS]
-        total = int(n.sum())
-        within = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-        ids = pool[np.repeat(first[at[a:a + EXPAND_WORDS]], n) + within]
-        # one end id stands after each earlier text
-        out[done + np.arange(total) + np.repeat(text_of_word[a:a + EXPAND_WORDS], n)] = ids
-        done += total
-    return out, n_ids
+    word[np.arange(len(coded)) + text_of_word] = coded.indices.to_numpy(zero_copy_only=False)
+    ends = np.cumsum(per_text + 1)
+    n_ids = np.add.reduceat(size[word], ends - per_text - 1) if len(ends) else np.zeros(0, np.int64)
+    lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)])), pa.array(pool))
+    parts = [lists.take(pa.array(word[a:a + EXPAND_WORDS])).flatten().to_numpy() for a in range(0, len(word), EXPAND_WORDS)]
+    return np.concatenate(parts).astype("<u4", copy=False) if parts else pool[:0], n_ids
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
