@@ -121,3 +121,17 @@ def link_group(n: int, maybe: Callable[[int, np.ndarray], np.ndarray], sure: Cal
                 if len(links) > before:
                     roots = np.array([union.find(k) for k in range(n)])
     return links
+
+
+def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest index of the connected component of each of 0..n-1, for edges a[i]-b[i]."""
+    label = np.arange(n)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        while (label[label] != label).any():
+            label = label[label]
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+    return label

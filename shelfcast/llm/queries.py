@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import embedding_dedup, language_id, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
+from shelfcast.llm import embedding_dedup, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
 from shelfcast.llm.common import crc_mod, read
 from shelfcast.session import ship_package
 from shelfcast.sources.sinks import materialize
@@ -177,3 +177,10 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of links and component of every vector at cosine 0.9."""
     return embedding_dedup.components(read(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat, exactly or nearly, across the corpus."""
+    out = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", "line_dedup.n_lines", "line_dedup.n_removed")
