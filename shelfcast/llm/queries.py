@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import embedding_dedup, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
+from shelfcast.llm import embedding_dedup, language_id, line_dedup, lm_score, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
 from shelfcast.llm.common import crc_mod, read
 from shelfcast.session import ship_package
 from shelfcast.sources.sinks import materialize
@@ -184,3 +184,31 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat, exactly or nearly, across the corpus."""
     out = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", "line_dedup.n_lines", "line_dedup.n_removed")
+
+
+OP3_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+             list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+n AS (SELECT sum(len(ws)) AS n FROM d),
+p AS (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
+g AS (SELECT r, i, len(ws) AS own, ws[i] AS w1, CASE WHEN i > 1 THEN ws[i - 1] || ' ' || ws[i] END AS w2,
+             CASE WHEN i > 2 THEN ws[i - 2] || ' ' || ws[i - 1] || ' ' || ws[i] END AS w3 FROM p),
+c AS (SELECT *, count(w1) OVER (PARTITION BY w1) - count(w1) OVER (PARTITION BY r, w1) AS c1,
+             count(w2) OVER (PARTITION BY w2) - count(w2) OVER (PARTITION BY r, w2) AS c2,
+             count(w3) OVER (PARTITION BY w3) - count(w3) OVER (PARTITION BY r, w3) AS c3 FROM g),
+b AS (SELECT *, lag(c1) OVER w AS b1, lag(c2) OVER w AS b2 FROM c WINDOW w AS (PARTITION BY r ORDER BY i)),
+s AS (SELECT r, ln(CASE WHEN c3 > 0 THEN c3::DOUBLE / b2
+        ELSE CASE WHEN i > 2 THEN 0.4::DOUBLE ELSE 1 END * CASE WHEN c2 > 0 THEN c2::DOUBLE / b1
+        ELSE CASE WHEN i > 1 THEN 0.4::DOUBLE ELSE 1 END * CASE WHEN c1 > 0 THEN c1::DOUBLE / (n - own)
+        ELSE 1::DOUBLE / (n - own + 1) END END END) AS l FROM b, n),
+m AS (SELECT r, sum(l) AS l FROM s GROUP BY 1)
+SELECT doc_id, len(ws)::BIGINT AS n_words, round(l / len(ws), 6) AS mean_log_score FROM d LEFT JOIN m USING (r)
+"""
+
+
+@query(OP3_SQL)
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean stupid-backoff log score of every whole text against the rest of the corpus."""
+    out = lm_score.scores(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", F.round("mean_log_score", 6).alias("mean_log_score"))
