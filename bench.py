@@ -90,8 +90,7 @@ def main() -> None:
         cols = feat.feature_columns(fm)
         d = F.col("date")
         model = mdl.fit_point_model(fm.filter(d <= cut["train_end"]), cols,
-                                    val=fm.filter((d > cut["train_end"]) & (d <= cut["val_end"])),
-                                    params={"maxIter": 25, "maxDepth": 5})
+                                    val=fm.filter((d > cut["train_end"]) & (d <= cut["val_end"])))
         run(mdl.predict_point(model, fm.filter(d > cut["val_end"])))
     timed("boosted_trees_fit_predict", boosted_trees)
     total = round(sum(times.values()), 3)

@@ -5,7 +5,6 @@ Layout:
   plans/      panel derivation (dense item x store x day table) and the query catalog
   functions/  Column-level scalar helpers (calendar, events, guarded arithmetic)
   operators/  features, forecasts, metrics, exploration, time-series analysis, models
-  streaming/  incremental (availableNow) refresh of the daily sales fact
 """
 
 __version__ = "0.1.0"

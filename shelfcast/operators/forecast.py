@@ -47,9 +47,10 @@ def day_number(d_col: str = "d") -> Column:
     return F.substring(F.col(d_col), 3, 10).cast("int")
 
 
-def split_by_day(df: DataFrame, cutoff_day: str, horizon: int = HORIZON) -> tuple[DataFrame, DataFrame]:
-    """train = days up to ``cutoff_day`` (a ``d_N`` label), test = the next ``horizon``."""
-    n = int(cutoff_day.split("_")[1])
+def split_by_day(df: DataFrame, cutoff_day: str | Column, horizon: int = HORIZON) -> tuple[DataFrame, DataFrame]:
+    """train = days up to ``cutoff_day`` (a ``d_N`` label, or a column with the number),
+    test = the next ``horizon``."""
+    n = cutoff_day if isinstance(cutoff_day, Column) else int(cutoff_day.split("_")[1])
     dn = day_number()
     return df.filter(dn <= n), df.filter((dn > n) & (dn <= n + horizon))
 
@@ -78,19 +79,22 @@ def seasonal_naive(panel: DataFrame, cutoff, horizon: int = HORIZON, season: int
     """M1: tile each series' last season over the horizon, clipped at 0.
 
     Returns ``(forecasts, failed)``: forecasts (id, h, date, yhat) for every series with a
-    full season; failed (id, n_days, error) for series with a shorter history.  Each of
+    full season; failed (id, n_days, error) for every other series with a past, also one that
+    ended before the last season (n_days 0).  Each of
     the ``season`` rows emits its own horizon steps h = phase+1, phase+1+season, ...:
     no join, no per-series loop.
     """
     cut = _date(cutoff)
+    past = panel.filter(F.col("date") <= cut)
     last = last_season(panel, cut, season).withColumn("n_days", F.count("*").over(Window.partitionBy("id")))
     ok = last.filter(F.col("n_days") == season)
     steps = F.when(F.col("phase") + 1 <= horizon, F.sequence(F.col("phase") + 1, F.lit(horizon), F.lit(season)))
     fc = (ok.select("id", F.explode(steps).alias("h"), clip_at_zero(F.col("sales").cast("double")).alias("yhat"))
             .withColumn("date", F.date_add(cut, F.col("h")))
             .select("id", "h", "date", "yhat"))
-    failed = (last.filter(F.col("n_days") < season).groupBy("id").agg(F.first("n_days").alias("n_days"))
-                  .withColumn("error", F.lit(f"history shorter than {season} days")))
+    recent = F.count_if(F.col("date") > F.date_sub(cut, season))
+    failed = (past.groupBy("id").agg(recent.alias("n_days")).filter(F.col("n_days") < season)
+                  .withColumn("error", F.lit(f"not all of the last {season} days are present")))
     return fc, failed
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -139,18 +140,22 @@ def sample_params(rng: random.Random) -> dict:
     return out
 
 
-def random_search(train: DataFrame, val: DataFrame, feature_cols: list[str], score_fn, n_trials: int = 5,
-                  seed: int = 42, base: dict | None = None, spark: SparkSession | None = None) -> DataFrame:
+def random_search(train: DataFrame, val: DataFrame, feature_cols: list[str], score_fn, n_trials: int = 50,
+                  seed: int = 42, base: dict | None = None, spark: SparkSession | None = None,
+                  at_once: int = 4) -> DataFrame:
     """M8 + T8: ``n_trials`` seeded draws; each fits M4 on ``train`` (early stopping on
     ``val``) and is scored by ``score_fn(model) -> float`` (validation MASE).  Returns the
-    trial table; ``best_trials`` sorts it."""
+    trial table; ``best_trials`` sorts it.  ``at_once`` trials submit their jobs together."""
     rng = random.Random(seed)
-    rows = []
-    for i in range(n_trials):
-        params = {**(base or {}), **sample_params(rng)}
+
+    def trial(i: int, params: dict) -> tuple:
         model = fit_point_model(train, feature_cols, val=val, params=params)
-        rows.append((i, float(score_fn(model)), params["stepSize"], int(params["maxDepth"]),
-                     params["subsamplingRate"], params["featureSubsetStrategy"], int(params["minInstancesPerNode"])))
+        return (i, float(score_fn(model)), params["stepSize"], int(params["maxDepth"]),
+                params["subsamplingRate"], params["featureSubsetStrategy"], int(params["minInstancesPerNode"]))
+
+    draws = [{**(base or {}), **sample_params(rng)} for _ in range(n_trials)]
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = list(pool.map(trial, range(n_trials), draws))
     spark = spark or train.sparkSession
     return spark.createDataFrame(rows, "trial int, value double, stepSize double, maxDepth int, "
                                        "subsamplingRate double, featureSubsetStrategy string, minInstancesPerNode int")

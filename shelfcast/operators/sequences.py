@@ -33,7 +33,9 @@ def sequence_windows(features: DataFrame, target: str = "sales", encoder: int =
     w = series_window()
     per_series = Window.partitionBy("id")
     y = F.col(target).cast("double")
-    known = [c for c in known if c in features.columns]
+    missing = [c for c in known if c not in features.columns]
+    if missing:
+        raise ValueError(f"known inputs are not in the frame: {', '.join(missing)}")
     df = time_index(features).withColumns({
         "encoder_target": F.collect_list(y).over(w.rowsBetween(-(encoder - 1), 0)),
         "decoder_target": F.collect_list(y).over(w.rowsBetween(1, decoder)),

@@ -22,6 +22,7 @@ PERIOD = 7
 ACF_LAGS = 28
 PACF_LAGS = 56
 # MacKinnon (2010) response-surface coefficients, constant-only regression, one series:
+MIN_ADF_DAYS = 12
 # critical value = b0 + b1/n + b2/n^2 + b3/n^3
 ADF_CRIT_CONST = {
     "1%": (-3.43035, -6.5393, -16.786, -79.433),
@@ -40,21 +41,23 @@ def decompose(df: DataFrame, key: str = "id", value: str = "sales", period: int
     trend points, phase means of the detrended values minus their mean as the seasonal
     part, and the residual.  Every series at once.
 
-    Exactness: all sums are integer (the value is a count), and each output is one IEEE
+    Exactness: for whole numbers all sums are integer, and each output is one IEEE
     division of an exact numerator by ``D = period^2 * sum(j^2)``; so the result does not
-    depend on how partitions add up.  Series shorter than ``3 * period`` get NULLs.
+    depend on how partitions add up.  Fractional values are summed as doubles.  Series
+    shorter than ``3 * period`` get NULLs.
     """
     if period % 2 != 1:
         raise ValueError("period must be odd")
     h = period // 2
     k2 = sum(j * j for j in range(-h, h + 1))
     den = period * period * k2
+    kind = "long" if df.schema[value].dataType.typeName() in ("byte", "short", "integer", "long") else "double"
     src = df if since is None else df.filter(F.col("date") >= F.lit(since).cast("date"))
     w = Window.partitionBy(key).orderBy("date")
-    base = src.select(key, "date", F.col(value).cast("long").alias("x")).withColumns({
+    base = src.select(key, "date", F.col(value).cast(kind).alias("x")).withColumns({
         "t": F.row_number().over(w) - 1,
         "n": F.count("*").over(Window.partitionBy(key)),
-        "s": F.sum("x").over(w.rowsBetween(-h, h)).cast("long"),
+        "s": F.sum("x").over(w.rowsBetween(-h, h)).cast(kind),
     })
     t, n, s = F.col("t"), F.col("n"), F.col("s")
     cf = F.lit(2 * h)                       # centre of the front fit points t = h .. h+period-1
@@ -64,7 +67,7 @@ def decompose(df: DataFrame, key: str = "id", value: str = "sales", period: int
     fits = base.groupBy(key).agg(
         F.sum(F.when(front, s)).alias("a_f"), F.sum(F.when(front, (t - cf) * s)).alias("b_f"),
         F.sum(F.when(back, s)).alias("a_b"), F.sum(F.when(back, (t - cb) * s)).alias("b_b"))
-    num = (F.when(n < 3 * period, F.lit(None).cast("long"))
+    num = (F.when(n < 3 * period, F.lit(None).cast(kind))
             .when(t < h, F.lit(k2) * F.col("a_f") + F.lit(period) * F.col("b_f") * (t - cf))
             .when(t > n - 1 - h, F.lit(k2) * F.col("a_b") + F.lit(period) * F.col("b_b") * (t - cb))
             .otherwise(s * F.lit(period * k2)))
@@ -93,14 +96,15 @@ def decompose(df: DataFrame, key: str = "id", value: str = "sales", period: int
 def acf(df: DataFrame, key: str = "id", value: str = "sales", nlags: int = ACF_LAGS) -> DataFrame:
     """Biased sample autocorrelation r_k = sum (x_t - m)(x_{t+k} - m) / sum (x_t - m)^2,
     k = 0..nlags, per key; long output (key, lag, acf).  ``nlags`` lag columns come from
-    one sort; no self-join, no row explosion."""
+    one sort; no self-join, no row explosion.  A constant series has no autocorrelation:
+    its rows are NULL."""
     w = Window.partitionBy(key).orderBy("date")
     base = df.select(key, "date", F.col(value).cast("double").alias("v")).withColumn(
         "d", F.col("v") - F.avg("v").over(Window.partitionBy(key)))
     base = base.withColumns({f"l{k}": F.lag("d", k).over(w) for k in range(1, nlags + 1)})
     sums = base.groupBy(key).agg(F.sum(F.col("d") * F.col("d")).alias("c0"),
                                  *[F.sum(F.col("d") * F.col(f"l{k}")).alias(f"c{k}") for k in range(1, nlags + 1)])
-    cells = F.array(*[F.struct(F.lit(k).alias("lag"), (F.col(f"c{k}") / F.col("c0")).alias("acf"))
+    cells = F.array(*[F.struct(F.lit(k).alias("lag"), F.try_divide(F.col(f"c{k}"), F.col("c0")).alias("acf"))
                       for k in range(0, nlags + 1)])
     return sums.select(key, F.inline(cells))
 
@@ -136,8 +140,11 @@ def pacf(df: DataFrame, key: str = "id", value: str = "sales", nlags: int = PACF
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("lag")
-        vals = _levinson(pdf["acf"].to_numpy(dtype=float))
-        return pd.DataFrame({key: pdf[key].iloc[0], "lag": pdf["lag"].to_numpy(), "pacf": vals})
+        r = pdf["acf"].to_numpy(dtype=float)
+        # a constant or too short series has NULL autocorrelations, hence NULL partial ones
+        vals = _levinson(r) if np.isfinite(r).all() else np.full(len(r), np.nan)
+        return pd.DataFrame({key: pdf[key].iloc[0], "lag": pdf["lag"].to_numpy(),
+                             "pacf": pd.Series(vals).astype(object).where(np.isfinite(vals), None)})
 
     return r.groupBy(key).applyInPandas(solve, schema=f"{key} {key_type}, lag int, pacf double")
 
@@ -157,12 +164,11 @@ def _ols(y: np.ndarray, x: np.ndarray):
 
 def _adf_design(y: np.ndarray, lag: int, start: int):
     dy = np.diff(y)
-    rows = range(start, len(dy))
-    yt = np.array([dy[t] for t in rows])
-    cols = [np.array([y[t] for t in rows])]                   # y_{t-1} aligned with dy[t]
-    cols += [np.array([dy[t - i] for t in rows]) for i in range(1, lag + 1)]
-    cols.append(np.ones(len(yt)))
-    return yt, np.column_stack(cols)
+    n = len(dy)
+    cols = [y[start:n]]                                       # y_{t-1} aligned with dy[t]
+    cols += [dy[start - i:n - i] for i in range(1, lag + 1)]
+    cols.append(np.ones(n - start))
+    return dy[start:], np.column_stack(cols)
 
 
 def adf_statistic(y: np.ndarray, maxlag: int | None = None) -> dict:
@@ -190,17 +196,26 @@ def adf_statistic(y: np.ndarray, maxlag: int | None = None) -> dict:
 
 
 def adf(df: DataFrame, key: str = "id", value: str = "sales") -> DataFrame:
-    """X4 per key: one grouped pandas call per series (bounded by the calendar length)."""
+    """X4 per key: one grouped pandas call per series (bounded by the calendar length).
+    A series without a statistic (constant, too short, or fitted exactly) keeps its row,
+    with NULLs and the reason in ``error``."""
     ship_package(df.sparkSession)
     key_type = df.schema[key].dataType.simpleString()
     schema = (f"{key} {key_type}, adf_stat double, used_lag int, nobs int, crit_1 double, crit_5 double, "
-              "crit_10 double, stationary_5pct boolean")
+              "crit_10 double, stationary_5pct boolean, error string")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
-        res = adf_statistic(pdf[value].to_numpy(dtype=float))
-        res[key] = pdf[key].iloc[0]
-        return pd.DataFrame([res])[[key, "adf_stat", "used_lag", "nobs", "crit_1", "crit_5", "crit_10",
-                                    "stationary_5pct"]]
+        y = pdf[value].to_numpy(dtype=float)
+        res = dict.fromkeys(["adf_stat", "used_lag", "nobs", "crit_1", "crit_5", "crit_10", "stationary_5pct", "error"])
+        try:
+            if len(y) < MIN_ADF_DAYS:
+                raise ValueError(f"fewer than {MIN_ADF_DAYS} values")
+            if not np.isfinite(y).all() or np.ptp(y) == 0:
+                raise ValueError("the series is constant or holds a missing value")
+            res |= adf_statistic(y)
+        except (ValueError, ZeroDivisionError, np.linalg.LinAlgError) as exc:
+            res["error"] = str(exc)
+        return pd.DataFrame([{key: pdf[key].iloc[0], **res}]).astype({"used_lag": "Int32", "nobs": "Int32", "stationary_5pct": "boolean"})
 
     return df.select(key, "date", value).groupBy(key).applyInPandas(run, schema=schema)

@@ -323,25 +323,29 @@ def q_best(spark, sf_dir):
 
 
 @register("naive_failed_series", with_panel(
-    "SELECT id, CAST(count(*) AS INTEGER) AS n_days FROM last7 GROUP BY id HAVING count(*) < 7",
-    extra_ctes=NAIVE_CTES))
+    "SELECT id, CAST(count(*) FILTER (WHERE date > c.val_end - 7) AS INTEGER) AS n_days FROM panel, cut c "
+    "WHERE sales > 0 AND date <= c.val_end GROUP BY id HAVING count(*) FILTER (WHERE date > c.val_end - 7) < 7",
+    extra_ctes=CUT_CTE))
 def q_naive_failed(spark, sf_dir):
-    """M1 failure list: series whose history is shorter than one season (none on a dense panel)."""
-    _, _, failed, _, _, _ = naive_scored(spark, sf_dir)
+    """M1 failure list on sparse data (days with a sale): series that lack a day of the
+    last season, ended ones included."""
+    panel = build_panel(spark, sf_dir, "region").filter("sales > 0")
+    _, failed = fcst.seasonal_naive(panel, cutoffs(spark, sf_dir)["val_end"], H)
     return failed.select("id", F.col("n_days").cast("int").alias("n_days"))
 
 
 # ---- splits, filters, indices (P3, P4, P8-P11), encodings (A19), best model (T6) ----------
 
 @register("day_split_counts", with_panel("""
-SELECT CASE WHEN CAST(substr(d, 3) AS INTEGER) <= 2471 THEN 'train' ELSE 'test' END AS part,
+SELECT CASE WHEN CAST(substr(d, 3) AS INTEGER) <= m.n - 28 THEN 'train' ELSE 'test' END AS part,
        count(*) AS n_rows, count(DISTINCT d) AS n_days
-FROM panel WHERE CAST(substr(d, 3) AS INTEGER) <= 2471 + 28 GROUP BY 1"""))
+FROM panel, (SELECT max(CAST(substr(d, 3) AS INTEGER)) AS n FROM panel) m GROUP BY 1"""))
 def q_day_split(spark, sf_dir):
-    """Split at the day label d_2471 (28 days before the end), test = next 28 days."""
+    """Split at the day label 28 days before the end of the span, test = next 28 days."""
     panel = build_panel(spark, sf_dir, "region")
-    train, test = fcst.split_by_day(panel, "d_2471", H)
-    fcst.check_horizon(test, H)
+    lo, hi = date_bounds(spark, sf_dir)
+    # both spans are cut by the calendar, so the test span has its H days whenever the whole has more
+    train, test = fcst.split_by_day(panel, F.datediff(hi, lo) + 1 - H, H)
     return (train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
                  .groupBy("part").agg(F.count("*").alias("n_rows"), F.countDistinct("d").alias("n_days")))
 

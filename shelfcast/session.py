@@ -20,15 +20,19 @@ def get_spark(app: str = "shelfcast", cores: int | str | None = None,
               shuffle_partitions: int | None = None,
               driver_memory: str = "16g", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session tuned for the panel workloads."""
-    cores = cores or os.environ.get("SHELFCAST_CORES", "*")
-    parts = shuffle_partitions or int(os.environ.get("SHELFCAST_SHUFFLE_PARTITIONS", "8"))
+    # under spark-submit the gateway is already there, and with it master and partitions
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ
+    builder = SparkSession.builder
+    if not submitted:
+        builder = builder.master(f"local[{cores or os.environ.get('SHELFCAST_CORES', '*')}]")
+    parts = shuffle_partitions or os.environ.get("SHELFCAST_SHUFFLE_PARTITIONS") or (None if submitted else 8)
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     builder = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
+        builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -38,6 +42,7 @@ def get_spark(app: str = "shelfcast", cores: int | str | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.parquet.datetimeRebaseModeInRead", "CORRECTED")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)

@@ -5,8 +5,10 @@ All writes go through the DataFrame writer; nothing passes through the driver.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcast.session import ensure_checkpoint_dir
 
@@ -27,12 +29,26 @@ def write_panel(panel: DataFrame, path: str, mode: str = "overwrite") -> None:
     panel.write.mode(mode).partitionBy("store_id").parquet(path)
 
 
+NOT_BUILT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _read_partitioned(spark: SparkSession, path: str, column: str) -> DataFrame | None:
+    """The table under ``path`` with its partition column as text ("01" stays "01"); None
+    if nothing is there.  Any other fault (permissions, network) is raised."""
+    try:
+        found = spark.read.parquet(path).schema
+    except AnalysisException as exc:
+        if exc.getCondition() in NOT_BUILT:
+            return None
+        raise
+    fields = [T.StructField(f.name, T.StringType() if f.name == column else f.dataType) for f in found.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def existing_partitions(spark: SparkSession, path: str, column: str = "store_id") -> DataFrame:
     """Values of ``column`` that already have a partition directory under ``path``."""
-    try:
-        return spark.read.parquet(path).select(column).distinct()
-    except Exception:  # no table yet
-        return spark.createDataFrame([], f"{column} string")
+    table = _read_partitioned(spark, path, column)
+    return spark.createDataFrame([], f"{column} string") if table is None else table.select(column).distinct()
 
 
 def write_features_resumable(features: DataFrame, path: str, column: str = "store_id") -> DataFrame:
@@ -55,10 +71,9 @@ def write_features_resumable(features: DataFrame, path: str, column: str = "stor
 
 def read_features(spark: SparkSession, path: str, stores: list[str] | None = None) -> DataFrame:
     """Feature scan with store pruning; raises if nothing has been built."""
-    try:
-        df = spark.read.parquet(path)
-    except Exception as exc:  # AnalysisException: path does not exist
-        raise FileNotFoundError(f"no feature files under {path}; build the features first") from exc
+    df = _read_partitioned(spark, path, "store_id")
+    if df is None:
+        raise FileNotFoundError(f"no feature files under {path}; build the features first")
     return df.filter(F.col("store_id").isin(stores)) if stores else df
 
 

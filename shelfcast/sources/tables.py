@@ -6,11 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-
-# Dimension rows we are willing to ship to every executor.  Anything larger is joined by
-# shuffle (sort-merge / shuffled hash, AQE decides at runtime).
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Bytes we are willing to ship to every executor.  Anything larger is joined by shuffle
+# (sort-merge / shuffled hash, AQE decides at runtime).
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
@@ -19,20 +17,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, derived: bool = False) -> DataFrame:
-    """Broadcast ``df`` only if it is proven to hold at most ``max_rows`` rows.
+def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES, derived: bool = False) -> DataFrame:
+    """Broadcast ``df`` only if its rows times its row width are at most ``max_bytes``.
 
     Meant for small *derived* tables (aggregates of a big table), whose planner size
-    estimates are unreliable.  The check counts at most ``max_rows + 1`` rows per
-    partition; beyond the bound the frame is returned unchanged and the planner shuffles
-    it instead.  A ``derived`` frame is cached first, so the count and the join share one
+    estimates are unreliable.  The rows are counted per partition and the counts added up;
+    beyond the bound the frame is returned unchanged and the planner shuffles it instead.  A ``derived`` frame is cached first, so the count and the join share one
     computation (the cache is rebuilt from lineage if an executor is lost).  Base tables
     need no call: the planner sizes them from file statistics.
     """
     if derived:
         df = df.cache()
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    width = sum(32 if f.dataType.typeName() == "string" else 16 for f in df.schema.fields)
+    if df.count() * width <= max_bytes:
         return F.broadcast(df)
     if derived:
         df.unpersist()

@@ -106,3 +106,12 @@ def test_panel_is_dense_on_sparse_data(spark):
     assert stats["d"] == (stats["hi"] - stats["lo"]).days + 1
     assert panel.groupBy("id", "date").count().filter("count > 1").count() == 0
     assert panel.filter(F.col("sales") > 0).count() < stats["n"] // 2
+
+
+def test_seasonal_naive_lists_series_that_ended(spark):
+    day = dt.date(2020, 1, 1)
+    rows = [("full", day + dt.timedelta(days=i), 1) for i in range(20)] + [("ended", day + dt.timedelta(days=i), 1) for i in range(8)]
+    df = spark.createDataFrame(rows, "id string, date date, sales int")
+    fc, failed = fcst.seasonal_naive(df, dt.date(2020, 1, 20), horizon=5)
+    assert {r["id"] for r in fc.collect()} == {"full"}
+    assert [(r["id"], r["n_days"]) for r in failed.collect()] == [("ended", 0)]

@@ -76,3 +76,16 @@ def test_checkpoint_dir_must_be_shared_on_a_cluster():
                          setCheckpointDir=lambda d: None)
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_partition_values_stay_text(spark, tmpdir_path):
+    path = f"{tmpdir_path}/panel01"
+    sinks.write_panel(_frame(spark, ["01", "1"]), path)
+    assert {r["store_id"] for r in sinks.read_features(spark, path).collect()} == {"01", "1"}
+    assert {r[0] for r in sinks.existing_partitions(spark, path).collect()} == {"01", "1"}
+
+
+def test_other_faults_are_raised(spark, tmpdir_path):
+    with pytest.raises(Exception) as found:
+        sinks.existing_partitions(spark, "nosuchscheme://bucket/panel")
+    assert "No FileSystem" in str(found.value) or "UnsupportedFileSystem" in str(found.value)

@@ -86,3 +86,36 @@ def test_adf_verdicts(spark):
     assert tsa.adf_statistic(noise)["stationary_5pct"]
     out = tsa.adf(_series_df(spark, np.round(noise))).first()
     assert out["stationary_5pct"] and out["crit_5"] < -2.8
+
+
+def _several(spark, **series):
+    out = None
+    for sid, values in series.items():
+        df = _series_df(spark, values, sid)
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def test_constant_and_short_series_do_not_stop_the_others(spark):
+    rng = np.random.default_rng(11)
+    df = _several(spark, good=rng.poisson(9, 120), flat=[0] * 120, short=[1, 5, 2])
+    acf = {(r["id"], r["lag"]): r["acf"] for r in tsa.acf(df, nlags=5).collect()}
+    assert acf["good", 0] == pytest.approx(1.0) and acf["flat", 1] is None
+    pacf = {(r["id"], r["lag"]): r["pacf"] for r in tsa.pacf(df, nlags=5).collect()}
+    assert pacf["good", 1] == pytest.approx(acf["good", 1]) and pacf["flat", 1] is None
+    adf = {r["id"]: r for r in tsa.adf(df).collect()}
+    assert adf["good"]["error"] is None and adf["good"]["adf_stat"] < 0
+    for s in ("flat", "short"):
+        assert adf[s]["adf_stat"] is None and adf[s]["error"]
+
+
+def test_decomposition_of_fractions(spark):
+    rng = np.random.default_rng(12)
+    x = np.round(rng.uniform(0, 3, 80), 2)
+    start = dt.date(2020, 1, 1)
+    df = spark.createDataFrame([("s", start + dt.timedelta(days=i), float(v)) for i, v in enumerate(x)],
+                               "id string, date date, sales double")
+    out = tsa.decompose(df).orderBy("date").toPandas()
+    for name, want in zip(("trend", "seasonal", "resid"), _decompose_np(x), strict=True):
+        np.testing.assert_allclose(out[name], want, atol=1e-9)
+    np.testing.assert_allclose(out["sales"], x)
