@@ -173,7 +173,7 @@ def detect_stockouts(df: DataFrame) -> DataFrame:
 
 
 def build_panel(spark: SparkSession, sf_dir: str, store_level: str = "region") -> DataFrame:
-    """Dense long panel from the star-schema tables: line items scanned once, two
+    """Dense long panel from the star-schema tables: line items read for the daily facts and once more for the date bounds, two
     exchanges (the (item, store, day) aggregate, then ``id`` for every per-series window)."""
     daily = daily_sales(star_facts(spark, sf_dir, store_level))
     lo, hi = date_bounds(spark, sf_dir)
