@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.sources.sinks import materialize
+
 
 def per_group(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str) -> DataFrame:
     """``fn`` on every group, streamed from key-sorted partitions: many small groups share
@@ -61,6 +63,34 @@ def chunk_pairs(rows: DataFrame, key: str, node: str, chunk: int) -> DataFrame:
                .drop("__n", "__parts", "__mine", "__other"))
 
 
+#: The bit table of wanted keys has a fixed size, whatever the input: 1 MB.
+FILTER_PARTS = 1024
+FILTER_PART_BITS = 8192
+
+
+def flag_wanted(rows: DataFrame, key: str, wanted: DataFrame, name: str) -> DataFrame:
+    """``rows`` with a boolean ``name``: false only if the row's ``key`` is surely not among
+    ``wanted`` (one column).  A join with ``wanted`` then needs to shuffle only rows that
+    are flagged.  With many times more keys than bits all rows are flagged: nothing is
+    saved then, and nothing lost."""
+
+    def merge(frame):
+        bits = np.zeros(FILTER_PART_BITS, bool)
+        bits[frame["__bit"].to_numpy()] = True
+        return pd.DataFrame({"__part": [frame["__part"].iloc[0]], "__bits": [np.packbits(bits).tobytes()]})
+
+    def cell(column):
+        at = F.pmod(F.xxhash64(column), F.lit(FILTER_PARTS * FILTER_PART_BITS)).cast("int")
+        return F.floor(at / FILTER_PART_BITS).cast("int").alias("__part"), (at % FILTER_PART_BITS).alias("__bit")
+
+    table = (wanted.select(*cell(F.col(wanted.columns[0]))).distinct().groupBy("__part")
+                   .applyInPandas(merge, "__part int, __bits binary"))
+    byte = F.expr("conv(hex(substring(__bits, (__bit div 8) + 1, 1)), 16, 10)").cast("int")
+    flag = F.coalesce(byte.bitwiseAND(F.expr("shiftright(128, __bit % 8)")) != 0, F.lit(False))
+    return (rows.select("*", *cell(F.col(key))).join(F.broadcast(materialize(table)), "__part", "left")
+                .withColumn(name, flag).drop("__part", "__bit", "__bits"))
+
+
 class Union:
     """Union-find over 0..n-1."""
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)

@@ -458,7 +458,7 @@ def test_linking_sets_share_a_signature():
                 y = np.concatenate([y, rng.integers(0, 1 << 63, int(rng.integers(0, extra + 1)), dtype=np.uint64)])
             both = len(np.intersect1d(x, y))
             assert 100 * both >= 75 * (len(x) + len(y) - both)
-            found, owner = ngram_join.set_signatures([np.sort(x), np.sort(y)], edges)
+            found, owner, _ = ngram_join.set_signatures([np.sort(x), np.sort(y)], edges)
             assert len(np.intersect1d(found[owner == 0], found[owner == 1])) > 0
             s = ngram_join.Sketches([ngram_join.sketch(z, ngram_join.sketch_bits(len(z))).tobytes() for z in (x, y)], [len(x), len(y)], 75)
             assert s.pairs(np.array([0]), np.array([1]))[0]
