@@ -86,22 +86,24 @@ def _decoded(blob: bytes) -> np.ndarray:
     return np.cumsum(out.view("<u8").reshape(-1), dtype=np.uint64)
 
 
-_SMALL = {1: "<u1", 2: "<u2", 4: "<u4", 8: "<u8"}
+def _packed(x: np.ndarray) -> bytes:
+    """Counts as single bytes; 255 stands for the next of the whole numbers that follow."""
+    return len(x).to_bytes(8, "little") + np.minimum(x, 255).astype(np.uint8).tobytes() + x[x >= 255].astype("<u8").tobytes()
 
 
-def _packed(x: np.ndarray) -> tuple[int, bytes]:
-    """Counts in as many bytes as the largest needs."""
-    width = next(w for w in _SMALL if int(x.max(initial=0)) < 1 << (8 * w))
-    return width, x.astype(_SMALL[width]).tobytes()
+def _unpacked(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    out = np.frombuffer(blob, np.uint8, n, 8).astype(np.int64)
+    out[out == 255] = np.frombuffer(blob, "<u8", offset=8 + n)
+    return out
 
 
-_ASK = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("grams", pa.binary()), ("width", pa.int32()),
-                  ("counts", pa.binary())])
-_ANSWER = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("width", pa.int32()), ("totals", pa.binary())])
+_ASK = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary())])
+_ANSWER = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("totals", pa.binary())])
 
 
 def _ddl(schema: pa.Schema) -> str:
-    names = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
+    names = {pa.int64(): "long", pa.binary(): "binary"}
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
@@ -135,7 +137,7 @@ def resolve(texts: pa.Array, rows: list[dict], known: int, buckets: int, order:
         if n == known:
             return
         _, index = np.unique(grams, return_inverse=True)
-        own = [np.frombuffer(r["totals"], _SMALL[r["width"]]).astype(np.int64) for r in rows if r["bucket"] // buckets == n]
+        own = [_unpacked(r["totals"]) for r in rows if r["bucket"] // buckets == n]
         counts.append(outside_counts(at, index, np.concatenate([*own, np.zeros(0, np.int64)]), text))
     yield None, (text, first, counts, places)
 
@@ -169,7 +171,7 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int
                 for b in range(buckets):
                     part = slice(edge[b], edge[b + 1])
                     if part.stop > part.start:
-                        for f, v in zip(_ASK.names, (name, n * buckets + b, _coded(identity[part]), *_packed(counts[part])), strict=True):
+                        for f, v in zip(_ASK.names, (name, n * buckets + b, _coded(identity[part]), _packed(counts[part])), strict=True):
                             out[f].append(v)
         return pa.Table.from_pydict(out, schema=_ASK)
 
@@ -186,10 +188,10 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int
         grams = [_decoded(r["grams"]) for r in rows]
         distinct, index = np.unique(np.concatenate(grams), return_inverse=True)
         sums = np.zeros(len(distinct), np.int64)
-        np.add.at(sums, index, np.concatenate([np.frombuffer(r["counts"], _SMALL[r["width"]]) for r in rows]))
+        np.add.at(sums, index, np.concatenate([_unpacked(r["counts"]) for r in rows]))
         out, begin = {f: [] for f in _ANSWER.names}, 0
         for r, g in zip(rows, grams, strict=True):
-            for f, v in zip(_ANSWER.names, (r["block"], r["bucket"], *_packed(sums[index[begin:begin + len(g)]])), strict=True):
+            for f, v in zip(_ANSWER.names, (r["block"], r["bucket"], _packed(sums[index[begin:begin + len(g)]])), strict=True):
                 out[f].append(v)
             begin += len(g)
         return pa.Table.from_pydict(out, schema=_ANSWER)
