@@ -38,8 +38,8 @@ MAX_LANGUAGES = 500
 RIDGE = 1e-2
 UNKNOWN = "und"
 #: Texts and bytes marked in one presence matrix.
-SLICE_TEXTS = 512
-SLICE_BYTES = 4 << 20
+SLICE_TEXTS = 256
+SLICE_BYTES = 1 << 20
 
 
 @dataclass

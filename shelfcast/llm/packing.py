@@ -34,8 +34,8 @@ WINDOW = 4096
 END_ID = 2
 SHARD_ROWS = 8192
 #: Bytes of text tokenized at a time, distinct words kept encoded, and words expanded at a time.
-SLICE_BYTES = 8 << 20
-CACHE_WORDS = 400_000
+SLICE_BYTES = 4 << 20
+CACHE_WORDS = 200_000
 EXPAND_WORDS = 500_000
 
 
