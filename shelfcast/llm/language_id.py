@@ -11,8 +11,9 @@ product ``L' K_mm^(-1/2) W`` is formed once, and a batch of whole texts is score
 matrix product ``X V``.
 
 The classifier is fitted on a bounded sample: about ``per_language`` texts of each
-language, each of at most ``max_chars`` characters, chosen by a hash of id and text over
-all learning rows.  Scoring covers whole texts of any length.
+language, chosen by a hash of id and text over all learning rows.  Of a sampled text
+longer than ``max_chars`` characters the fit takes ``max_chars`` from its first letter on.
+Scoring covers whole texts of any length.
 
 Defined results: NULL texts and texts without a letter give ``und`` with score 0; without
 any learning row everything is ``und``; with one language that one is predicted with
@@ -139,7 +140,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str =
     """Fit on a sample of ``labelled``: per language a share of its rows, by hash, that
     makes about ``per_language`` of them."""
     rows = labelled.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(label).cast("string").alias("label")).filter(
-        F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.char_length("text") <= max_chars))
+        F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}"))
     # one row per language comes to the driver
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().limit(MAX_LANGUAGES + 1).collect()}
     if len(counts) > MAX_LANGUAGES:
@@ -148,8 +149,10 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str =
         return Model([])
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, per_language / n)])
     draw = F.pmod(F.xxhash64("id", "text", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    window = F.when(F.char_length("text") <= max_chars, F.col("text")).otherwise(
+        F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{max_chars - 1}}}", 0))
     taken = (rows.withColumn("draw", draw).filter(F.col("draw") < share[F.col("label")])
-                 .select("label", "draw", F.lower("text").alias("text")).limit(3 * per_language * len(counts)).collect())
+                 .select("label", "draw", F.lower(window).alias("text")).limit(3 * per_language * len(counts)).collect())
     taken = sorted(taken, key=lambda r: (r["draw"], r["label"], r["text"]))
     return fit_texts([r["text"].encode() for r in taken], [r["label"] for r in taken])
 
