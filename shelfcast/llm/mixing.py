@@ -3,13 +3,13 @@
 Every source has a target share of the mixture.  With ``size`` its measure (characters)
 and ``total`` the measure wanted, each of its documents is repeated at the mean rate
 ``share * total / size``.  A document's count is drawn by inverting the Poisson
-distribution at a uniform number seeded by a hash of its id, so the draw is repeatable,
-needs no state, and is independent of partitioning.  The document is exploded by its
+distribution at a uniform number seeded by a hash of its id and text, so the draw is
+repeatable, needs no state, and is independent of partitioning.  The document is exploded by its
 count and all copies are dealt out by a hash: a global shuffle.
 
 Defined results: a NULL source is a source of its own; a NULL text has size 0 (a source
-with size 0 keeps rate 1); rows with equal ids get equal counts; an empty table gives no
-rows.  Counts end at ``MAX_COPIES`` terms, where the tail is below 2**-52 for rates up
+with size 0 keeps rate 1); rows with equal id and text get equal counts; an empty table
+gives no rows.  Counts end at ``MAX_COPIES`` terms, where the tail is below 2**-52 for rates up
 to ``MAX_RATE``; larger rates are split into equal parts, drawn one by one and added, so no draw is cut.
 """
 
@@ -76,9 +76,11 @@ def source_rates(docs: DataFrame, source: str = "source", text: str = "text", we
 
 
 def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str = "text",
-        weights: dict[str, float] | None = None, power: float = 0.5, epochs: float = 1.0, seed: str = "mix") -> DataFrame:
+        weights: dict[str, float] | None = None, power: float = 0.5, epochs: float = 1.0, seed: str = "mix",
+        by_text: bool = True) -> DataFrame:
     """All columns of ``docs`` plus a struct ``mixed(rate, n_copies, copy)`` (an input
-    column of that name is replaced), one row per copy, in a globally shuffled order (hash partitions, sorted by the hash inside)."""
+    column of that name is replaced), one row per copy, in a globally shuffled order (hash partitions, sorted by the hash inside).
+    Without ``by_text`` the id alone seeds the draw, so rows that share an id (NULL too) share a count."""
     spark = docs.sparkSession
     rates = materialize(source_rates(docs, source, text, weights, power, epochs)
                         .select(F.col("source").alias("from"), "rate"))
@@ -88,7 +90,8 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(source).alias("s"),
                        F.col(key).alias("id"))
     parts = F.ceil(F.col("rate") / MAX_RATE).cast("int")
-    one = lambda i: poisson_count(F.col("rate") / parts, uniform(seed, F.col("id"), i))
+    own = [F.col("id"), F.md5(F.col("doc")[text].cast("binary"))] if by_text else [F.col("id")]
+    one = lambda i: poisson_count(F.col("rate") / parts, uniform(seed, *own, i))
     count = F.when(F.col("rate") <= 0, F.lit(0)).otherwise(
         F.aggregate(F.sequence(F.lit(1), parts), F.lit(0), lambda a, i: a + one(i)))
     copies = (rows.join(rates, F.col("s").eqNullSafe(F.col("from")))

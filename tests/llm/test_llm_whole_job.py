@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfcast.llm import language_id
+from shelfcast.llm import language_id, mixing
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -27,3 +27,19 @@ def test_language_stage_keeps_texts_if_nothing_can_be_learned(spark):
     rows = [(1, "the cat sat on the mat " * 2000, "en", "a", 46000), (2, "le chat est sur la table " * 2000, "fr", "a", 50000)]
     kept = corpus_pipeline.language_stage(spark, spark.createDataFrame(rows, DOCS), SF)
     assert sorted((r["doc_id"], r["lang"]) for r in kept.collect()) == [(1, "en"), (2, "fr")]
+
+
+# --- mixing ---------------------------------------------------------------------------------
+
+def test_rows_that_share_an_id_are_drawn_one_by_one(spark):
+    n = 3000
+    rows = [(None, f"text {i:06d}", "en", "null", 11) for i in range(n)] + [(7, f"text {i:06d}", "en", "hot", 11) for i in range(n)]
+    docs = spark.createDataFrame(rows, DOCS)
+    found = mixing.mix(docs, weights={"null": 0.3, "hot": 0.7}).groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("text").alias("d"))
+    out = {r["source"]: r for r in found.collect()}
+    # rates 0.6 and 1.4; a Poisson total stays within five standard deviations
+    for source, rate in (("null", 0.6), ("hot", 1.4)):
+        assert abs(out[source]["n"] - rate * n) < 5 * (rate * n) ** 0.5
+        assert abs(out[source]["d"] - (1 - 2.718281828 ** -rate) * n) < 150
+    stage = corpus_pipeline.mixing_stage(spark, docs, SF)  # both sources at rate 1
+    assert 0.9 * n < stage.filter("source = 'null'").count() < 1.1 * n
