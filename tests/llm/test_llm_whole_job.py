@@ -1,8 +1,10 @@
 """Cases in which an operator or stage once did less than the whole job."""
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfcast.llm import language_id, mixing
+from shelfcast.llm import language_id, line_dedup, mixing
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -43,3 +45,41 @@ def test_rows_that_share_an_id_are_drawn_one_by_one(spark):
         assert abs(out[source]["d"] - (1 - 2.718281828 ** -rate) * n) < 150
     stage = corpus_pipeline.mixing_stage(spark, docs, SF)  # both sources at rate 1
     assert 0.9 * n < stage.filter("source = 'null'").count() < 1.1 * n
+
+
+# --- line dedup -----------------------------------------------------------------------------
+
+def changed_words(rng, line, vocab, share):
+    w = line.split(" ")
+    for i in rng.choice(len(w), max(1, round(share * len(w))), replace=False):
+        w[i] = vocab[rng.integers(len(vocab))]
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("n_words", [5, 10, 20, 50])
+def test_recall_of_pairs_by_edit_similarity_alone(spark, n_words):
+    rng = np.random.default_rng(n_words)
+    vocab = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 10))) for _ in range(5000)]
+    rows, pairs = [], []
+    for i in range(200):
+        line = " ".join(rng.choice(vocab, n_words))
+        other = changed_words(rng, line, vocab, (0.0, 0.1, 0.2)[i % 3])
+        rows += [(2 * i, line), (2 * i + 1, other)]
+        if line != other and line_dedup.similar(line, other, line_dedup.SIMILARITY):
+            pairs.append(2 * i + 1)
+    assert len(pairs) > 60
+    out = {r["doc_id"]: r["line_dedup"]["n_removed"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(out[i] for i in pairs) >= 0.9 * len(pairs)
+    assert not any(n for i, n in out.items() if i not in pairs and rows[i][1] not in [t for j, t in rows if j < i])
+
+
+def test_hot_bands_are_compared_in_chunks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    vocab = [f"word{chr(97 + i % 26)}{i}" for i in range(400)]
+    base = [" ".join(rng.choice(vocab, 12)) for _ in range(3)]
+    rows = [(i, changed_words(rng, base[i % 3], vocab, 0)) for i in range(120)] + [(200 + i, b) for i, b in enumerate(base)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(str, line_dedup.dedup_lines(docs).collect()))
+    monkeypatch.setattr(line_dedup, "HOT_BAND", 20)
+    assert sorted(map(str, line_dedup.dedup_lines(docs).collect())) == want
+    assert sum("n_removed=0" in r for r in want) == 3
