@@ -73,6 +73,15 @@ def test_recall_of_pairs_by_edit_similarity_alone(spark, n_words):
     assert not any(n for i, n in out.items() if i not in pairs and rows[i][1] not in [t for j, t in rows if j < i])
 
 
+def test_lines_without_spaces_and_short_copies(spark):
+    notice = "".join(chr(0x4E00 + 37 * i % 5000) for i in range(99))
+    near = notice[:50] + "新" + notice[51:]
+    apart = "".join(chr(0x5000 + 91 * i % 5000) for i in range(99))
+    rows = [(1, f"{notice}\nRead more\n----\nown line of one"), (2, f"{notice}\nRead More!\n----\nx"), (3, f"{near}\nread\n```\nx"), (4, f"{apart}\n\n===\n- -")]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: rows[0][1], 2: "x", 3: "read\n```\nx", 4: rows[3][1]}
+
+
 def test_hot_bands_are_compared_in_chunks(spark, monkeypatch):
     rng = np.random.default_rng(4)
     vocab = [f"word{chr(97 + i % 26)}{i}" for i in range(400)]
