@@ -92,3 +92,20 @@ def test_hot_bands_are_compared_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "HOT_BAND", 20)
     assert sorted(map(str, line_dedup.dedup_lines(docs).collect())) == want
     assert sum("n_removed=0" in r for r in want) == 3
+
+
+# --- n-gram Jaccard join in the pipeline ------------------------------------------------------
+
+def test_near_copies_that_share_an_id_go(spark):
+    def text(k):
+        return " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(7, text(0)), (7, text(0) + " more"), (7, text(1)), (9, text(1) + " more"), (3, text(1) + " again"), (7, text(1)),
+            (None, text(2)), (None, text(2)), (None, text(2) + " more"), (None, "stands alone here"), (8, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], DOCS)
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, SF)
+    assert kept.columns == docs.columns
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    ids = sorted(str(i) for i, _ in found)
+    assert ids == ["3", "7", "8", "None", "None", "None"]
+    assert (3, text(1) + " again") in found and (None, "stands alone here") in found and (None, None) in found and (8, None) in found
+    assert next(t for i, t in found if i == 7) in (text(0), text(0) + " more")
