@@ -17,9 +17,6 @@ from shelfcast.plans.oracle_sql import panel_ctes
 from shelfcast.plans.queries_core import H, cutoffs, naive_scored, panel_of
 from shelfcast.sources.sinks import materialize
 
-# The budget of the registered search; every trial has the library's full settings.
-SEARCH_TRIALS = 5
-
 
 def _model_data(spark, sf_dir):
     panel = panel_of(spark, sf_dir)
@@ -92,7 +89,7 @@ def q_tuning(spark, sf_dir):
         scored = mdl.predict_point(model, val).select("id", "date", F.col("sales").cast("double").alias("actual"), "yhat")
         return met.mase(scored, val_hist).first()["MASE"]
 
-    trials = mdl.random_search(train, val, cols, score, n_trials=SEARCH_TRIALS, seed=42)
+    trials = mdl.random_search(train, val, cols, score, seed=42)
     return rounded(mdl.best_trials(trials, 5))
 
 
