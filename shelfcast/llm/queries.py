@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import embedding_dedup, language_id, line_dedup, lm_score, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
+from shelfcast.llm import byte_bpe, embedding_dedup, language_id, line_dedup, lm_score, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
 from shelfcast.llm.common import crc_mod, read
 from shelfcast.session import ship_package
 from shelfcast.sources.sinks import materialize
@@ -213,3 +213,14 @@ def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean stupid-backoff log score of every whole text against the rest of the corpus."""
     out = lm_score.scores(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
+@query()
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded by the ranks of a byte-level vocabulary, and decoded again."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = byte_bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, offsets=False)
+    out = byte_bpe.decode(encoded, path, keep_ids=True)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
