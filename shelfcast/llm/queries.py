@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import byte_bpe, embedding_dedup, language_id, line_dedup, lm_score, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
+from shelfcast.llm import byte_bpe, embedding_dedup, filter_audit, language_id, line_dedup, lm_score, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
 from shelfcast.llm.common import crc_mod, read
 from shelfcast.session import ship_package
 from shelfcast.sources.sinks import materialize
@@ -224,3 +224,40 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+_FAILS = "CASE substr(filter_order, {i}, 1) WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END"
+OP13_SQL = rf"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM t),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY 1),
+m AS (SELECT part, len(ws) < {filter_audit.MIN_WORDS} AS a,
+             100 * len(list_distinct(ws)) < {filter_audit.MIN_DISTINCT_PERCENT} * len(ws) AS b,
+             100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > {filter_audit.MAX_UPPER_PERCENT} * length(text) AS c,
+             regexp_matches(text, '[#$%&*|]') AS d,
+             coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY text), false) AS e,
+             coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+k AS (SELECT part, a, b, c, d, e, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM m GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT f1.f || f2.f || f3.f || f4.f || f5.f AS filter_order FROM f f1, f f2, f f3, f f4, f f5
+      WHERE len(list_distinct([f1.f, f2.f, f3.f, f4.f, f5.f])) = 5),
+p AS (SELECT *, list_position([{", ".join("(" + _FAILS.format(i=i) + ")" for i in range(1, 6))}], true) AS first_fail FROM k, o),
+s AS (SELECT *, unnest(range(1, 6)) AS step FROM p),
+q AS (SELECT *, {_FAILS.format(i="step")} AS fails, a::INT + b::INT + c::INT + d::INT + e::INT AS n_fails FROM s),
+r AS (SELECT part, filter_order, step::INT AS step,
+             coalesce(sum(n) FILTER (first_fail IS NULL OR first_fail > step), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (first_fail = step), 0)::BIGINT AS removed,
+             coalesce(sum(n) FILTER (fails AND first_fail < step), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (fails AND n_fails = 1), 0)::BIGINT AS unique_fails,
+             coalesce(sum(good) FILTER (first_fail = step), 0)::BIGINT AS good_lost,
+             coalesce(sum(toxic) FILTER (first_fail = step), 0)::BIGINT AS toxic_lost
+      FROM q GROUP BY ALL)
+SELECT *, sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1))::BIGINT AS shapley FROM r
+"""
+
+
+@query(OP13_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters keep and remove at each step of all their orders, per language."""
+    return filter_audit.audit_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
