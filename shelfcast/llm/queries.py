@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import byte_bpe, embedding_dedup, filter_audit, language_id, line_dedup, lm_score, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
+from shelfcast.llm import byte_bpe, embedding_dedup, filter_audit, language_id, line_dedup, lm_score, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, token_align
 from shelfcast.llm.common import crc_mod, read
 from shelfcast.session import ship_package
 from shelfcast.sources.sinks import materialize
@@ -261,3 +261,10 @@ SELECT *, sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1))::
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters keep and remove at each step of all their orders, per language."""
     return filter_audit.audit_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies aligned over every whole text, with corpus-wide link counts."""
+    return token_align.link_statistics(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                       public_tokenizers.path("piece_bpe_32k.model"))

@@ -65,25 +65,35 @@ def encode_segments(distinct: pa.Array, call: Callable[[list[str]], list], token
     if not len(distinct):
         return np.zeros(0, np.int32), np.zeros(0, np.int64)
     joins = blank[data[at[:-1]]] & _solid(data)[at[1:] - 1]
-    size = np.zeros(len(distinct), np.int64)
     joined, lone = np.flatnonzero(joins), np.flatnonzero(~joins)
     inner, inner_at = flat(pc.take(distinct, pa.array(joined)))
-    group = inner_at[1:] // JOIN_BYTES
-    edges = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(joined)]]) if len(joined) else np.zeros(1, np.int64)
-    strings = [inner[inner_at[a]:inner_at[b]].tobytes().decode() for a, b in zip(edges, edges[1:], strict=False)]
+    edges = [0, *(np.flatnonzero(np.diff(inner_at[1:] // JOIN_BYTES)) + 1).tolist(), len(joined)] if len(joined) else []
+    spans = list(zip(edges, edges[1:], strict=False))
+    strings = [inner[inner_at[a]:inner_at[b]].tobytes().decode() for a, b in spans]
     found = call(strings + pc.take(distinct, pa.array(lone)).to_pylist())
-    long = np.concatenate([np.asarray(x, np.int32) for x in found[:len(strings)]]) if strings else np.zeros(0, np.int32)
-    ends = np.searchsorted(np.cumsum(token_size[long]), inner_at[1:]) + 1
-    size[joined] = np.diff(np.concatenate([[0], ends]))
-    size[lone] = [len(x) for x in found[len(strings):]]
-    pool = np.concatenate([long, *[np.asarray(x, np.int32) for x in found[len(strings):]]])
-    # the pool holds the joined segments first; put the ids into the order of the segments
-    order = np.concatenate([joined, lone])
-    start = np.empty(len(distinct), np.int64)
-    start[order] = np.cumsum(size[order]) - size[order]
+    pools, sizes, order = [], [], []
+    for (a, b), ids in zip(spans, found[:len(strings)], strict=True):
+        ids = np.asarray(ids, np.int32)
+        reach = np.cumsum(token_size[ids])
+        until = inner_at[a + 1:b + 1] - inner_at[a]
+        ends = np.searchsorted(reach, until) + 1
+        if len(ids) and reach[-1] == until[-1] and (reach[ends - 1] == until).all():
+            pools.append(ids)
+            sizes.append(np.diff(np.concatenate([[0], ends])))
+            order.append(joined[a:b])
+        else:  # some segment does not come back byte by byte: no telling where its ids end
+            lone = np.concatenate([lone, joined[a:b]])
+            found += call(pc.take(distinct, pa.array(joined[a:b])).to_pylist())
+    alone = found[len(strings):]
+    pools += [np.asarray(x, np.int32) for x in alone]
+    sizes.append(np.fromiter(map(len, alone), np.int64, len(alone)))
+    order.append(lone)
+    pool, sizes, order = np.concatenate(pools), np.concatenate(sizes), np.concatenate(order)
+    # put the ids into the order of the segments
+    size, start = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
+    size[order], start[order] = sizes, np.cumsum(sizes) - sizes
     total = np.cumsum(size)
-    where = np.arange(total[-1]) + np.repeat(start - (total - size), size)
-    return pool[where], size
+    return pool[np.arange(total[-1]) + np.repeat(start - (total - size), size)], size
 
 
 def expand(pool: np.ndarray, size: np.ndarray, codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
