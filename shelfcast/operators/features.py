@@ -39,21 +39,24 @@ ENCODING_LEVELS = {
 }
 
 
-def add_lag_features(df: DataFrame, lags=LAG_DAYS, col: str = "sales") -> DataFrame:
-    """``sales_lag_k`` = value k rows earlier in the same series."""
+def add_lag_features(df: DataFrame, lags=LAG_DAYS, col: str = "sales", min_lag: int = 1) -> DataFrame:
+    """``sales_lag_k`` = value k rows earlier in the same series.  ``min_lag`` leaves out
+    lags that are not known that many days ahead."""
     w = series_window()
-    return df.withColumns({f"{col}_lag_{k}": F.lag(col, k).over(w) for k in lags})
+    return df.withColumns({f"{col}_lag_{k}": F.lag(col, k).over(w) for k in lags if k >= min_lag})
 
 
-def add_rolling_features(df: DataFrame, windows=ROLLING_WINDOWS, col: str = "sales") -> DataFrame:
+def add_rolling_features(df: DataFrame, windows=ROLLING_WINDOWS, col: str = "sales", min_lag: int = 1) -> DataFrame:
     """Trailing mean and sample std over the k rows before today (today excluded);
-    std is 0 where fewer than two values exist."""
+    std is 0 where fewer than two values exist.  With ``min_lag`` the k rows end that many
+    days before today, and the names say so."""
     w = series_window()
     out = {}
+    ahead = "" if min_lag == 1 else f"_from_{min_lag}"
     for k in windows:
-        frame = w.rowsBetween(-k, -1)
-        out[f"{col}_roll_mean_{k}"] = F.avg(col).over(frame)
-        out[f"{col}_roll_std_{k}"] = F.coalesce(F.stddev_samp(col).over(frame), F.lit(0.0))
+        frame = w.rowsBetween(1 - k - min_lag, -min_lag)
+        out[f"{col}_roll_mean_{k}{ahead}"] = F.avg(col).over(frame)
+        out[f"{col}_roll_std_{k}{ahead}"] = F.coalesce(F.stddev_samp(col).over(frame), F.lit(0.0))
     return df.withColumns(out)
 
 
@@ -180,16 +183,18 @@ def panel_statistics(panel: DataFrame, until=None) -> tuple[DataFrame, dict[str,
 
 
 def build_features(panel: DataFrame, stats: dict[str, DataFrame] | None = None, until=None,
-                   min_date=None, is_train: bool = True) -> DataFrame:
+                   min_date=None, is_train: bool = True, min_lag: int = 1) -> DataFrame:
     """Feature matrix: the seven feature groups, burn-in (P5) and longest-lag filter.
 
     ``stats`` are reused encodings (inference); when absent they are computed from the
-    panel up to ``until``, in the same pass as the department-day mean price.
+    panel up to ``until``, in the same pass as the department-day mean price.  With
+    ``min_lag`` = the horizon no feature uses sales of the horizon's own days, so one model
+    forecasts all of them directly.
     """
     dept, own_stats = panel_statistics(panel, until)
     stats = stats or own_stats
-    df = add_lag_features(panel)
-    df = add_rolling_features(df)
+    df = add_lag_features(panel, min_lag=min_lag)
+    df = add_rolling_features(df, min_lag=min_lag)
     df = add_calendar_features(df)
     df = add_event_features(df)
     df = add_benefit_flag(df)

@@ -144,6 +144,28 @@ def evaluate(scored: DataFrame, history: DataFrame, model_name: str, by=None,
     return res.select(F.lit(model_name).alias("model"), *[c for c in res.columns])
 
 
+def horizon_scores(scored: DataFrame, history: DataFrame, model_name: str, spans: list[tuple[int, int]],
+                   season: int = SEASON) -> DataFrame:
+    """E7 by horizon: MAE and MASE of the steps first..last of each span (``h`` counts from 1),
+    one row per span.  A row is emitted once per span that holds its step; the scale is one
+    number, the pooled seasonal error of ``history``."""
+    inside = F.array_compact(F.array(*[F.when(F.col("h").between(a, b), F.lit(f"{a}-{b}")) for a, b in spans]))
+    err = (scored.select(F.explode(inside).alias("horizon"), abs_error().alias("_e"))
+                 .groupBy("horizon").agg(F.avg("_e").alias("MAE")).withColumn("_all", F.lit(1)))
+    scale = seasonal_scale(history, None, season).withColumn("_all", F.lit(1))
+    return (err.join(F.broadcast(scale), "_all")
+               .select(F.lit(model_name).alias("model"), "horizon", "MAE",
+                       (F.col("MAE") / (F.col("naive_mae") + F.lit(SCALE_EPS))).alias("MASE")))
+
+
+def horizon_leaderboard(reports: list[DataFrame], digits: int = 4) -> DataFrame:
+    """U1 + T5 per span: the models of each horizon ranked by MAE."""
+    rows = reduce(DataFrame.unionByName, reports)
+    rank = F.row_number().over(Window.partitionBy("horizon").orderBy("MAE", "model"))
+    return rows.select("horizon", rank.cast("int").alias("Rank"), "model", F.bround("MAE", digits).alias("MAE"),
+                       F.bround("MASE", digits).alias("MASE"))
+
+
 def leaderboard(reports: list[DataFrame], rank_by: str = "MAE", digits: int = 4) -> DataFrame:
     """U1 + T5: union of reports (missing metrics are NULL), rank by ``rank_by`` ascending
     from 1, numeric columns rounded half-even.  One row per model: a single-partition

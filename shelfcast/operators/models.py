@@ -2,13 +2,14 @@
 
 * M4 point model: MLlib ``GBTRegressor`` with absolute loss; early stopping through a
   validation indicator column (rows of the validation span) and a tolerance.
-* M5 intervals: MLlib has no pinball loss, so quantiles come from the leaves of a
-  regression tree: each training row's leaf, the empirical P10/P50/P90 of the target per
-  leaf (``percentile_approx``), joined back on the leaf of each scored row.  The leaf table
+* M5 intervals: boosting under the pinball loss, see ``operators.boosting``.  A cheaper
+  form takes the target's P10/P50/P90 in the leaves of one regression tree
+  (``percentile_approx``), joined back on the leaf of each scored row.  The leaf table
   has at most 2^maxDepth rows, a proven bound, so it is broadcast.
 * M7 importances: impurity-gain importances zipped with the feature names.
-* M8 search: seeded random search over the ranges MLlib shares with the reference, each
-  trial scored by validation MASE.
+* M8 search: seeded draws over the ranges MLlib shares with the reference, scored by
+  validation MASE; successive halving continues the better ones, ``random_search`` fits
+  every draw to the end.
 
 Every fit and prediction is a distributed MLlib job; nothing is collected but model
 parameters and one metric per trial.
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import clip_at_zero, title_label
+from shelfcast.operators import boosting
 
 # ---- fixed values -----------------------------------------------------------------------
 QUANTILES = [0.1, 0.5, 0.9]
@@ -163,3 +165,29 @@ def random_search(train: DataFrame, val: DataFrame, feature_cols: list[str], sco
 
 def best_trials(trials: DataFrame, n: int = 5) -> DataFrame:
     return trials.orderBy("value", "trial").limit(n)
+
+
+def search_draws(n_trials: int = 50, seed: int = 42) -> list[dict]:
+    """``n_trials`` seeded draws, with the parameters of ``operators.boosting``."""
+    rng = random.Random(seed)
+    draws = [sample_params(rng) for _ in range(n_trials)]
+    for d in draws:
+        d["featureSubsetFraction"] = float(d.pop("featureSubsetStrategy"))
+    return draws
+
+
+def halving_search(train: DataFrame, val: DataFrame, feature_cols: list[str], scale: float, n_trials: int = 50,
+                   seed: int = 42, **kwargs) -> DataFrame:
+    """M8 + T8 by successive halving: every draw is fitted for a few rounds, the best third
+    goes on.  One row per draw with its validation MASE (mean absolute error over ``scale``)
+    and the rounds it got; ``best_halving_trials`` ranks it."""
+    rows = boosting.training_rows(train, val, feature_cols)
+    found = boosting.successive_halving(rows, feature_cols, search_draws(n_trials, seed), scale, seed=seed, **kwargs)
+    fields = "trial int, value double, rounds int, stepSize double, maxDepth int, subsamplingRate double, featureSubsetFraction double, minInstancesPerNode int"
+    names = [f.split()[0] for f in fields.split(", ")]
+    return train.sparkSession.createDataFrame([tuple(r[n] for n in names) for r in found], fields)
+
+
+def best_halving_trials(trials: DataFrame, n: int = 5) -> DataFrame:
+    """Trials that were kept longest come first, then the lower value."""
+    return trials.orderBy(F.col("rounds").desc(), "value", "trial").limit(n)

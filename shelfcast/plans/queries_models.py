@@ -4,17 +4,22 @@ oracle: the driver records a rows-only check, and tests/ hold property checks
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
+from shelfcast.functions.numeric import SCALE_EPS
+from shelfcast.operators import boosting
 from shelfcast.operators import features as feat
 from shelfcast.operators import forecast as fcst
 from shelfcast.operators import metrics as met
 from shelfcast.operators import models as mdl
+from shelfcast.operators.rollout import roll_out
 from shelfcast.operators.sarima import sarima_forecast
 from shelfcast.operators.sequences import sequence_windows
 from shelfcast.plans.catalog import register, rounded
-from shelfcast.plans.oracle_sql import panel_ctes
-from shelfcast.plans.queries_core import H, cutoffs, naive_scored, panel_of
+from shelfcast.plans.oracle_sql import panel_ctes, with_panel
+from shelfcast.plans.queries_core import CUT_CTE, H, NAIVE_CTES, cutoffs, naive_scored, panel_of
 from shelfcast.sources.sinks import materialize
 
 
@@ -45,26 +50,45 @@ def q_gbt_forecast(spark, sf_dir):
     return rounded(out.select("id", "date", F.col("sales").cast("double").alias("actual"), "yhat"))
 
 
+ROUNDS, PATIENCE = 24, 6
+
+
 def _quantile_scored(spark, sf_dir):
-    model, cols, train, val, test, history, panel = _gbt(spark, sf_dir)
-    qmodel, leaves = mdl.fit_leaf_quantiles(train.unionByName(val), cols)
-    scored = mdl.predict_quantiles(qmodel, leaves, mdl.predict_point(model, test))
-    scored = scored.select("id", "date", "store_id", "cat_id", F.col("sales").cast("double").alias("actual"),
-                           "yhat", "q10", "q50", "q90")
-    return scored, history, model, cols
+    panel, _, cols, train, val, test, history, _ = _model_data(spark, sf_dir)
+    rows = boosting.training_rows(train, val, cols)
+    fitted = boosting.fit_quantiles(rows, cols, mdl.QUANTILES, rounds=ROUNDS, patience=PATIENCE)
+    scored = boosting.predict_quantiles(boosting.predict(test, fitted[0.5]), fitted)
+    return scored.select("id", "date", "store_id", "cat_id", F.col("sales").cast("double").alias("actual"),
+                         "yhat", "q10", "q50", "q90"), history, fitted
 
 
 @register("gbt_quantiles", None)
 def q_gbt_quantiles(spark, sf_dir):
-    """M5: P10 / P50 / P90 from leaf quantiles, ordered per row."""
-    scored, _, _, _ = _quantile_scored(spark, sf_dir)
+    """M5: P10 / P50 / P90 boosted under the pinball loss, ordered per row; ``yhat`` is the
+    median model's forecast."""
+    scored, _, _ = _quantile_scored(spark, sf_dir)
     return rounded(scored)
 
 
+@register("gbt_quantile_checks", with_panel(f"""
+SELECT p.store_id, count(*) AS n_rows, count(*) AS n_ordered, count(*) AS n_not_negative, round(avg(CAST(p.sales AS DOUBLE)), 6) AS mean_actual,
+       true AS falls_10, true AS falls_50, true AS falls_90
+FROM panel p, cut c WHERE p.date > c.val_end GROUP BY p.store_id""", extra_ctes=CUT_CTE))
+def q_gbt_quantile_checks(spark, sf_dir):
+    """M5 properties per store: every test row has a forecast, P10 <= P50 <= P90, none below
+    0, and the rounds lowered the validation loss of each quantile."""
+    scored, _, fitted = _quantile_scored(spark, sf_dir)
+    falls = {q: bool(e.trees) and e.losses[-1] < e.losses[0] for q, e in fitted.items()}
+    return rounded(scored.groupBy("store_id").agg(
+        F.count("*").alias("n_rows"), F.count_if((F.col("q10") <= F.col("q50")) & (F.col("q50") <= F.col("q90"))).alias("n_ordered"),
+        F.count_if((F.col("yhat") >= 0) & (F.col("q10") >= 0)).alias("n_not_negative"), F.avg("actual").alias("mean_actual"),
+        *[F.lit(falls[q]).alias(f"falls_{int(round(q * 100))}") for q in mdl.QUANTILES]))
+
+
 @register("gbt_evaluation", None)
 def q_gbt_eval(spark, sf_dir):
     """E5 with coverage + E8 pinball losses of the quantile bands, per store."""
-    scored, history, _, _ = _quantile_scored(spark, sf_dir)
+    scored, history, _ = _quantile_scored(spark, sf_dir)
     rep = met.evaluate(scored, history, "boosted_trees", by="store_id")
     pin = [met.pinball_loss(scored, q, f"q{int(q * 100)}", "store_id") for q in mdl.QUANTILES]
     for p in pin:
@@ -79,18 +103,37 @@ def q_gbt_importance(spark, sf_dir):
     return rounded(mdl.feature_importance(model, cols, spark, top=15))
 
 
-@register("tuning_trials", None)
-def q_tuning(spark, sf_dir):
-    """M8 + T8: seeded random search, each trial scored by validation MASE; best first."""
-    panel, features, cols, train, val, test, history, cut = _model_data(spark, sf_dir)
-    val_hist = panel.filter(F.col("date") <= cut["train_end"]).select("id", "date", "sales")
+def _tuning(spark, sf_dir):
+    panel, _, cols, train, val, _, _, cut = _model_data(spark, sf_dir)
+    past = panel.filter(F.col("date") <= cut["train_end"]).select("id", "date", "sales")
+    scale = met.seasonal_scale(past).first()["naive_mae"]  # the MASE denominator, once for all trials
+    return mdl.halving_search(train, val, cols, scale + SCALE_EPS), scale
 
-    def score(model):
-        scored = mdl.predict_point(model, val).select("id", "date", F.col("sales").cast("double").alias("actual"), "yhat")
-        return met.mase(scored, val_hist).first()["MASE"]
 
-    trials = mdl.random_search(train, val, cols, score, seed=42)
-    return rounded(mdl.best_trials(trials, 5))
+@register("tuning_trials", None)
+def q_tuning(spark, sf_dir):
+    """M8 + T8: 50 seeded draws, successive halving by validation MASE; best first."""
+    trials, _ = _tuning(spark, sf_dir)
+    return rounded(mdl.best_halving_trials(trials, 5))
+
+
+@register("tuning_checks", with_panel("""
+SELECT 50 AS n_trials, 5 AS n_best, true AS is_sorted, true AS best_of_all, '1:50 3:17 9:6 27:2' AS rungs,
+       round(avg(e), 6) AS naive_mae
+FROM (SELECT abs(p.sales - lag(p.sales, 7) OVER (PARTITION BY p.id ORDER BY p.date)) AS e FROM panel p, cut c WHERE p.date <= c.train_end)
+""", extra_ctes=CUT_CTE))
+def q_tuning_checks(spark, sf_dir):
+    """M8 + T8 properties: all draws were tried, the shown five are sorted and hold the best
+    of the last rung, a third went on from each rung, and the scale of the MASE."""
+    trials, scale = _tuning(spark, sf_dir)
+    every = trials.collect()  # one row per draw
+    best = mdl.best_halving_trials(trials, 5).collect()
+    order = [(-r["rounds"], r["value"]) for r in best]
+    steps = sorted({r["rounds"] for r in every})
+    rungs = " ".join(f"{s}:{sum(r['rounds'] >= s for r in every)}" for s in steps)
+    last = min(r["value"] for r in every if r["rounds"] == steps[-1])
+    return rounded(spark.createDataFrame([(len(every), len(best), order == sorted(order), best[0]["value"] == last, rungs, float(scale))],
+                                         "n_trials int, n_best int, is_sorted boolean, best_of_all boolean, rungs string, naive_mae double"))
 
 
 def _sarima(spark, sf_dir, auto=False):
@@ -116,21 +159,67 @@ def q_sarima_auto(spark, sf_dir):
                                         F.first("aic").alias("aic"), F.count("*").alias("n_steps")))
 
 
+#: Spans of the 28 steps that the models are compared on.
+SPANS = [(1, 7), (8, 14), (15, 21), (22, 28), (1, H)]
+
+
+def _split(features, cut):
+    d = F.col("date")
+    return features.filter(d <= cut["train_end"]), features.filter((d > cut["train_end"]) & (d <= cut["val_end"]))
+
+
+def _direct(panel, cut):
+    """Trees on features that are known ``H`` days ahead."""
+    features = materialize(mdl.model_frame(feat.build_features(panel, until=cut["train_end"], min_lag=H)))
+    cols = feat.feature_columns(features)
+    model = boosting.boost(boosting.training_rows(*_split(features, cut), cols), cols, rounds=ROUNDS, patience=PATIENCE)
+    ahead = features.filter(F.col("date") > cut["val_end"]).withColumn("h", F.datediff("date", cut["val_end"]))
+    return boosting.predict(ahead, model).select("id", "h", "date", "yhat")
+
+
+def _recursive(panel, cut):
+    """One-step trees, rolled out over the horizon."""
+    features = materialize(mdl.model_frame(feat.build_features(panel, until=cut["train_end"])))
+    cols = feat.feature_columns(features)
+    model = boosting.boost(boosting.training_rows(*_split(features, cut), cols), cols, rounds=ROUNDS, patience=PATIENCE)
+    return roll_out(features, model, cut["val_end"], H)
+
+
 @register("model_leaderboard", None)
 def q_model_board(spark, sf_dir):
-    """E7 + T5: seasonal naive, SARIMA and boosted trees on one common test span (trap D14)."""
-    panel, fc_naive, _, scored_naive, history, cut = naive_scored(spark, sf_dir)
-    _, _, fc_s, _ = _sarima(spark, sf_dir)
-    scored_s = fcst.scored_frame(fc_s.select("id", "h", "date", "yhat"), panel, cut["val_end"], H)
-    scored_q, history_q, _, _ = _quantile_scored(spark, sf_dir)
-    reports = [met.evaluate(scored_naive, history, "seasonal_naive_7"),
-               met.evaluate(scored_s, history, "sarima"),
-               met.evaluate(scored_q, history_q, "boosted_trees")]
-    return mdl_leaderboard_int(met.leaderboard(reports))
-
-
-def mdl_leaderboard_int(board):
-    return board.withColumn("Rank", F.col("Rank").cast("int"))
+    """E7 + T5: seasonal naive, SARIMA, direct and recursive trees on one test span, ranked
+    per span of horizon steps; no model sees sales of the test span."""
+    panel = panel_of(spark, sf_dir)
+    cut = cutoffs(spark, sf_dir)
+    history = panel.filter(F.col("date") <= cut["val_end"])
+    with ThreadPoolExecutor(2) as pool:  # the two tree fits submit their jobs side by side
+        direct, recursive = (pool.submit(f, panel, cut) for f in (_direct, _recursive))
+        forecasts = {"seasonal_naive_7": fcst.seasonal_naive(panel, cut["val_end"], H)[0],
+                     "sarima": sarima_forecast(history, cut["val_end"], H)[0],
+                     "trees_direct": direct.result(), "trees_recursive": recursive.result()}
+    reports = [met.horizon_scores(fcst.scored_frame(fc.select("id", "h", "date", "yhat"), panel, cut["val_end"], H), history, name, SPANS)
+               for name, fc in forecasts.items()]
+    return met.horizon_leaderboard(reports)
+
+
+@register("naive_horizon_leaderboard", with_panel(f"""
+SELECT horizon, CAST(row_number() OVER (PARTITION BY horizon ORDER BY MAE, model) AS INTEGER) AS Rank, model,
+       round_even(MAE, 4) AS MAE, round_even(MAE / (s.naive_mae + 1e-8), 4) AS MASE
+FROM (SELECT model, a || '-' || b AS horizon, avg(abs(actual - yhat)) AS MAE
+      FROM (SELECT 'seasonal_naive_7' AS model, h, actual, yhat FROM scored UNION ALL SELECT 'naive_last_value', h, actual, yhat FROM scored1),
+           (VALUES {", ".join(f"({a}, {b})" for a, b in SPANS)}) AS v(a, b) WHERE h BETWEEN a AND b GROUP BY 1, 2),
+     (SELECT avg(e) AS naive_mae FROM hist_err WHERE e IS NOT NULL) s""", extra_ctes=NAIVE_CTES + f""",
+scored1 AS (
+  SELECT datediff('day', c.val_end, p.date) AS h, greatest(CAST(f.sales AS DOUBLE), 0.0) AS yhat, CAST(p.sales AS DOUBLE) AS actual
+  FROM panel f JOIN panel p ON p.id = f.id, cut c WHERE f.date = c.val_end AND p.date > c.val_end AND p.date <= c.val_end + {H}
+)"""))
+def q_naive_horizon_board(spark, sf_dir):
+    """E7 by horizon: two naive models per span of steps."""
+    panel, fc7, _, _, history, cut = naive_scored(spark, sf_dir)
+    fc1, _ = fcst.seasonal_naive(panel, cut["val_end"], H, 1)
+    return met.horizon_leaderboard([
+        met.horizon_scores(fcst.scored_frame(fc, panel, cut["val_end"], H), history, name, SPANS)
+        for name, fc in (("seasonal_naive_7", fc7), ("naive_last_value", fc1))])
 
 
 @register("sequence_windows", None)

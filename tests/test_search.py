@@ -3,14 +3,21 @@ import inspect
 
 from conftest import SF001
 
+from shelfcast.operators import boosting
 from shelfcast.plans import queries_models
 
 
 def test_registered_search_draws_the_default_number_of_trials(spark, monkeypatch):
-    default = inspect.signature(queries_models.mdl.random_search).parameters["n_trials"].default
+    default = inspect.signature(queries_models.mdl.halving_search).parameters["n_trials"].default
     fitted = []
-    monkeypatch.setattr(queries_models.mdl, "fit_point_model", lambda *a, params, **k: fitted.append(params))
-    monkeypatch.setattr(queries_models.met, "mase", lambda *a, **k: spark.createDataFrame([(0.5,)], "MASE double"))
-    monkeypatch.setattr(queries_models.mdl, "predict_point", lambda model, rows: rows.selectExpr("*", "0.0D AS yhat"))
+
+    def boost(rows, columns, quantile, rounds, params, begin, seed):
+        if begin is None:
+            fitted.append(params)
+        made = boosting.Ensemble(quantile, columns, params, trees=(begin.trees if begin else []) + [None] * rounds)
+        made.losses.append(params["stepSize"])
+        return made
+
+    monkeypatch.setattr(boosting, "boost", boost)
     assert default == 50 and queries_models.q_tuning(spark, SF001).count() == 5
-    assert len(fitted) == default
+    assert len(fitted) == default == len({p["stepSize"] for p in fitted})
