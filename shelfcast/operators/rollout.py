@@ -49,10 +49,10 @@ def roll_out(features: DataFrame, ensemble: Ensemble, cutoff: Column, horizon: i
     past_days = max([*LAG_DAYS, *ROLLING_WINDOWS])
     d = F.col("date")
     rows = features.filter((d > F.date_sub(cutoff, past_days)) & (d <= F.date_add(cutoff, horizon)))
-    ahead = d > cutoff
+    rows, ahead = rows.withColumn("_ahead", d > cutoff), F.col("_ahead")
     per = rows.groupBy("id").agg(
-        F.array_sort(F.collect_list(F.when(~ahead, F.struct(d, F.col("sales").cast("double").alias("y"))))).alias("past"),
-        F.array_sort(F.collect_list(F.when(ahead, F.struct(d, F.array(*[F.col(c).cast("double") for c in known]).alias("x"))))).alias("next"))
+        F.sort_array(F.collect_list(F.when(~ahead, F.struct(d, F.col("sales").cast("double").alias("y"))))).alias("past"),
+        F.sort_array(F.collect_list(F.when(ahead, F.struct(d, F.array(*[F.col(c).cast("double") for c in known]).alias("x"))))).alias("next"))
     per = per.filter((F.size("past") == past_days) & (F.size("next") == horizon))
     ready = per.select("id", F.col("past.y").alias("past"), F.flatten("next.x").alias("next"))
 
