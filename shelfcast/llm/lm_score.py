@@ -5,7 +5,8 @@ else by ``ALPHA`` times the bigram score, else by ``ALPHA`` squared times the wo
 All counts are corpus counts less the document's own, so a text is scored by what the
 rest of the corpus contains; a word that occurs nowhere else counts as one more word.
 
-Relational form.  Documents are dealt to blocks by a hash.  A block counts its distinct
+Relational form.  Rows are dealt to blocks by a hash that also takes
+the row's place, so repeated rows are spread.  A block counts its distinct
 n-grams before anything is shuffled, and sends its part of every
 hash bucket as one binary row; a bucket is a partition of the n-gram count table, which
 sums the counts of all blocks and joins the totals back to the n-grams that each block
@@ -159,7 +160,8 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int
     blocks = size // BLOCK_BYTES + 1
     buckets = min(1 << 31, size // BUCKET_BYTES + 1)  # of each order
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
+    # rows are scored one by one, so repeated rows need not meet: the row number deals them out
+    block = F.pmod(F.xxhash64("id", "text", F.monotonically_increasing_id()), F.lit(blocks))
     dealt = source.withColumn("block", block).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
 
     def asked(name: int, texts: pa.Table, rows: list[dict], n: int) -> pa.Table:
@@ -168,11 +170,10 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int
             if k == n:
                 distinct, counts = np.unique(grams, return_counts=True)
                 edge, identity = _edges(distinct, buckets), _identity(distinct, buckets)
-                for b in range(buckets):
+                for b in np.flatnonzero(np.diff(edge)).tolist():  # only buckets that get something
                     part = slice(edge[b], edge[b + 1])
-                    if part.stop > part.start:
-                        for f, v in zip(_ASK.names, (name, n * buckets + b, _coded(identity[part]), _packed(counts[part])), strict=True):
-                            out[f].append(v)
+                    for f, v in zip(_ASK.names, (name, n * buckets + b, _coded(identity[part]), _packed(counts[part])), strict=True):
+                        out[f].append(v)
         return pa.Table.from_pydict(out, schema=_ASK)
 
     def ask_first(texts: pa.Table) -> pa.Table:
