@@ -33,8 +33,8 @@ from shelfcast.llm.text_arrays import U, flat, mix, word_hashes
 
 ORDER = 3
 ALPHA = 0.4
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
+BUCKET_BYTES = 6 << 20
 _STEP = U(0x9E3779B97F4A7C15)
 
 
