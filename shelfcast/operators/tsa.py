@@ -1,9 +1,8 @@
 """Time-series analysis per series.
 
-X1 and X2 are relational (windows + grouped sums, every series at once).  X3 and X4 need
-a small per-series solve; Spark does the windowing and grouping, and a grouped
-``applyInPandas`` runs numpy on one series' bounded rows (at most the calendar length,
-or ``nlags`` numbers for X3).
+X1 and X2 are relational (windows + grouped sums, every series at once).  X3 folds the
+autocorrelations of a series by array expressions.  X4 sums cross products of blocks of days;
+numpy multiplies a block's bounded rows and solves the equations, one row per series.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.session import ship_package
@@ -93,129 +92,192 @@ def decompose(df: DataFrame, key: str = "id", value: str = "sales", period: int
 
 # ---- X2: autocorrelation --------------------------------------------------------------------
 
-def acf(df: DataFrame, key: str = "id", value: str = "sales", nlags: int = ACF_LAGS) -> DataFrame:
-    """Biased sample autocorrelation r_k = sum (x_t - m)(x_{t+k} - m) / sum (x_t - m)^2,
-    k = 0..nlags, per key; long output (key, lag, acf).  ``nlags`` lag columns come from
-    one sort; no self-join, no row explosion.  A constant series has no autocorrelation:
-    its rows are NULL."""
+def acf_array(df: DataFrame, key: str, value: str, nlags: int) -> DataFrame:
+    """(key, r array<double>) with r_0..r_nlags, see ``acf``."""
     w = Window.partitionBy(key).orderBy("date")
     base = df.select(key, "date", F.col(value).cast("double").alias("v")).withColumn(
         "d", F.col("v") - F.avg("v").over(Window.partitionBy(key)))
     base = base.withColumns({f"l{k}": F.lag("d", k).over(w) for k in range(1, nlags + 1)})
     sums = base.groupBy(key).agg(F.sum(F.col("d") * F.col("d")).alias("c0"),
                                  *[F.sum(F.col("d") * F.col(f"l{k}")).alias(f"c{k}") for k in range(1, nlags + 1)])
-    cells = F.array(*[F.struct(F.lit(k).alias("lag"), F.try_divide(F.col(f"c{k}"), F.col("c0")).alias("acf"))
-                      for k in range(0, nlags + 1)])
-    return sums.select(key, F.inline(cells))
+    return sums.select(key, F.array(*[F.try_divide(F.col(f"c{k}"), F.col("c0")) for k in range(0, nlags + 1)]).alias("r"))
+
+
+def acf(df: DataFrame, key: str = "id", value: str = "sales", nlags: int = ACF_LAGS) -> DataFrame:
+    """Biased sample autocorrelation r_k = sum (x_t - m)(x_{t+k} - m) / sum (x_t - m)^2,
+    k = 0..nlags, per key; long output (key, lag, acf).  ``nlags`` lag columns come from
+    one sort; no self-join, no row explosion.  A constant series has no autocorrelation:
+    its rows are NULL."""
+    return acf_array(df, key, value, nlags).select(key, F.posexplode("r").alias("lag", "acf"))
 
 
 # ---- X3: partial autocorrelation ------------------------------------------------------------
 
-def _levinson(r: np.ndarray) -> np.ndarray:
-    """Durbin-Levinson recursion: partial autocorrelations from r_0..r_K (r_0 = 1)."""
-    k_max = len(r) - 1
-    out = np.zeros(k_max + 1)
-    out[0] = 1.0
-    phi = np.zeros(k_max + 1)
-    sigma = r[0]
-    for k in range(1, k_max + 1):
-        num = r[k] - np.dot(phi[1:k], r[k - 1:0:-1]) if k > 1 else r[k]
-        pk = num / sigma if sigma != 0 else np.nan
-        new = phi.copy()
-        new[k] = pk
-        for j in range(1, k):
-            new[j] = phi[j] - pk * phi[k - j]
-        phi = new
-        sigma = sigma * (1.0 - pk * pk)
-        out[k] = pk
-    return out
+def levinson(r: Column) -> Column:
+    """Partial autocorrelations 1, phi_11, phi_22, ... from the array r_0 = 1, r_1, ..., by the
+    Durbin-Levinson recursion: a fold over the lags that carries the coefficients of the last
+    order, the share of variance left, and the results."""
+    def step(state: Column, k: Column) -> Column:
+        phi = state["phi"]
+        # phi_1..phi_{k-1} against r_{k-1}..r_1
+        past = F.zip_with(phi, F.reverse(F.slice(r, F.lit(2), F.size(phi))), lambda a, b: a * b)
+        known = F.aggregate(past, F.lit(0.0), lambda total, x: total + x)
+        partial = F.try_divide(F.element_at(r, k + 1) - known, state["left"])
 
+        def with_partial(p: Column) -> Column:  # evaluated once, not once per coefficient
+            return F.struct(
+                F.concat(F.zip_with(phi, F.reverse(phi), lambda a, b: a - p * b), F.array(p)).alias("phi"),
+                (state["left"] * (F.lit(1.0) - p * p)).alias("left"),
+                F.concat(state["out"], F.array(p)).alias("out"))
 
-def pacf(df: DataFrame, key: str = "id", value: str = "sales", nlags: int = PACF_LAGS) -> DataFrame:
-    """Yule-Walker (biased autocovariance) partial autocorrelation per key: X2 in Spark,
-    then the recursion on each key's ``nlags + 1`` numbers in a grouped pandas function."""
-    ship_package(df.sparkSession)
-    r = acf(df, key, value, nlags)
-    key_type = df.schema[key].dataType.simpleString()
+        return F.get(F.transform(F.array(partial), with_partial), F.lit(0))
+
+    empty = F.array().cast("array<double>")
+    begin = F.struct(empty.alias("phi"), F.lit(1.0).alias("left"), F.array(F.lit(1.0)).alias("out"))
+    lags = F.when(F.size(r) > 1, F.sequence(F.lit(1), F.size(r) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(lags, begin, step, lambda state: state["out"])
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        r = pdf["acf"].to_numpy(dtype=float)
-        # a constant or too short series has NULL autocorrelations, hence NULL partial ones
-        vals = _levinson(r) if np.isfinite(r).all() else np.full(len(r), np.nan)
-        return pd.DataFrame({key: pdf[key].iloc[0], "lag": pdf["lag"].to_numpy(),
-                             "pacf": pd.Series(vals).astype(object).where(np.isfinite(vals), None)})
 
-    return r.groupBy(key).applyInPandas(solve, schema=f"{key} {key_type}, lag int, pacf double")
+def pacf(df: DataFrame, key: str = "id", value: str = "sales", nlags: int = PACF_LAGS) -> DataFrame:
+    """Yule-Walker (biased autocovariance) partial autocorrelation per key: X2, then the
+    recursion over each key's ``nlags + 1`` numbers.  A constant or too short series has NULL
+    autocorrelations, hence NULL partial ones."""
+    # the fold reads r many times: it must be a column by then, not a formula
+    r = acf_array(df, key, value, nlags).select(key, F.transform("r", lambda x: x).alias("r"))
+    whole = F.forall("r", lambda x: x.isNotNull())
+    none = F.array_repeat(F.lit(None).cast("double"), nlags + 1)
+    out = r.select(key, F.when(whole, levinson(F.col("r"))).otherwise(none).alias("p"))
+    return out.select(key, F.posexplode("p").alias("lag", "pacf"))
 
 
 # ---- X4: augmented Dickey-Fuller ------------------------------------------------------------
 
-def _ols(y: np.ndarray, x: np.ndarray):
-    beta, *_ = np.linalg.lstsq(x, y, rcond=None)
-    resid = y - x @ beta
-    nobs, k = x.shape
-    ssr = float(resid @ resid)
-    llf = -nobs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nobs) + 1.0)
-    sigma2 = ssr / (nobs - k)
-    cov = sigma2 * np.linalg.inv(x.T @ x)
-    return beta, np.sqrt(np.diag(cov)), -2.0 * llf + 2.0 * k
+#: MacKinnon's published response surface for the constant-only case: the
+#: statistic's range, the border of its two parts, and the polynomials in the statistic.
+P_RANGE, P_BORDER = (-18.83, 2.74), -1.61
+P_LOW = (2.1659, 1.4412, 0.038269)
+P_HIGH = (1.7339, 0.93202, -0.12745, -0.010368)
+
+#: Days of a block whose cross products are summed in one task.
+BLOCK_DAYS = 512
 
 
-def _adf_design(y: np.ndarray, lag: int, start: int):
+def adf_p_value(stat: float) -> float:
+    """Approximate p-value of the statistic (regression with a constant)."""
+    if stat <= P_RANGE[0]:
+        return 0.0
+    if stat >= P_RANGE[1]:
+        return 1.0
+    z = sum(c * stat ** i for i, c in enumerate(P_LOW if stat <= P_BORDER else P_HIGH))
+    return 0.5 * math.erfc(-z / math.sqrt(2.0))
+
+
+def _adf_rows(y: np.ndarray, lags: int) -> np.ndarray:
+    """Rows (1, y_{t-1}, dy_{t-1} .. dy_{t-lags}, dy_t) for every t with all of them."""
     dy = np.diff(y)
-    n = len(dy)
-    cols = [y[start:n]]                                       # y_{t-1} aligned with dy[t]
-    cols += [dy[start - i:n - i] for i in range(1, lag + 1)]
-    cols.append(np.ones(n - start))
-    return dy[start:], np.column_stack(cols)
-
-
-def adf_statistic(y: np.ndarray, maxlag: int | None = None) -> dict:
-    """ADF with constant; lag chosen by AIC over a common sample, then refit on the full
-    sample with the chosen lag.  Returns the t-statistic of y_{t-1}, the lag, nobs and
-    the MacKinnon critical values."""
-    y = np.asarray(y, dtype=float)
-    nobs_all = len(y)
-    if maxlag is None:
-        maxlag = int(math.ceil(12.0 * (nobs_all / 100.0) ** 0.25))
-        maxlag = min(nobs_all // 2 - 2, maxlag)
-    best_lag, best_aic = 0, math.inf
-    for lag in range(0, maxlag + 1):
-        yt, x = _adf_design(y, lag, maxlag)
-        _, _, aic = _ols(yt, x)
-        if aic < best_aic - 1e-12:
-            best_lag, best_aic = lag, aic
-    yt, x = _adf_design(y, best_lag, best_lag)
-    beta, se, _ = _ols(yt, x)
-    n = len(yt)
-    crit = {k: b[0] + b[1] / n + b[2] / n ** 2 + b[3] / n ** 3 for k, b in ADF_CRIT_CONST.items()}
-    stat = float(beta[0] / se[0])
-    return {"adf_stat": stat, "used_lag": best_lag, "nobs": n, "crit_1": crit["1%"],
-            "crit_5": crit["5%"], "crit_10": crit["10%"], "stationary_5pct": bool(stat < crit["5%"])}
-
-
-def adf(df: DataFrame, key: str = "id", value: str = "sales") -> DataFrame:
-    """X4 per key: one grouped pandas call per series (bounded by the calendar length).
-    A series without a statistic (constant, too short, or fitted exactly) keeps its row,
-    with NULLs and the reason in ``error``."""
+    n = len(dy) - lags
+    cols = [np.ones(n), y[lags:-1], *[dy[lags - i:len(dy) - i] for i in range(1, lags + 1)], dy[lags:]]
+    return np.column_stack(cols)
+
+
+class NoStatistic(Exception):
+    """A series for which the test says nothing; the message is the reason."""
+
+
+def _adf_solve(gram: np.ndarray, lag: int, full: int) -> tuple[float, float, float, int]:
+    """(statistic, AIC, squared residuals, rows) of the regression with ``lag`` lags from the
+    cross products of all columns."""
+    use = [*range(lag + 2), full + 2]
+    g = gram[np.ix_(use, use)]
+    xx, xy, n, k = g[:-1, :-1], g[:-1, -1], g[0, 0], lag + 2
+    scale = np.sqrt(np.diag(xx))
+    if not (scale > 0).all():
+        raise NoStatistic("a lag is zero throughout")
+    inverse = np.linalg.inv(xx / np.outer(scale, scale)) / np.outer(scale, scale)
+    beta = inverse @ xy
+    ssr = float(g[-1, -1] - beta @ xy)
+    if ssr <= 1e-12 * g[-1, -1] or n <= k:
+        raise NoStatistic("the regression fits exactly")
+    aic = n * (math.log(2 * math.pi) + math.log(ssr / n) + 1.0) + 2.0 * k
+    return float(beta[1] / math.sqrt(ssr / (n - k) * inverse[1, 1])), aic, ssr, int(n)
+
+
+def max_adf_lag(n: int) -> int:
+    return min(n // 2 - 2, int(math.ceil(12.0 * (n / 100.0) ** 0.25)))
+
+
+def adf(df: DataFrame, key: str = "id", value: str = "sales", lag: int | None = None) -> DataFrame:
+    """X4 per key: ADF with a constant; the number of lags has the least AIC over a common
+    sample (or is ``lag``), the statistic comes from all rows that have these lags.
+
+    A series is cut into blocks of ``BLOCK_DAYS`` days, each with the values before it that
+    its lags need.  A task sums the cross products of a block; their sums per series hold the
+    normal equations of every candidate at once, so the regressions need one row per series,
+    however long it is.  A series without a statistic (constant, too short, or fitted
+    exactly) keeps its row, with NULLs and the reason in ``error``.
+    """
     ship_package(df.sparkSession)
     key_type = df.schema[key].dataType.simpleString()
-    schema = (f"{key} {key_type}, adf_stat double, used_lag int, nobs int, crit_1 double, crit_5 double, "
-              "crit_10 double, stationary_5pct boolean, error string")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        y = pdf[value].to_numpy(dtype=float)
-        res = dict.fromkeys(["adf_stat", "used_lag", "nobs", "crit_1", "crit_5", "crit_10", "stationary_5pct", "error"])
-        try:
-            if len(y) < MIN_ADF_DAYS:
-                raise ValueError(f"fewer than {MIN_ADF_DAYS} values")
-            if not np.isfinite(y).all() or np.ptp(y) == 0:
-                raise ValueError("the series is constant or holds a missing value")
-            res |= adf_statistic(y)
-        except (ValueError, ZeroDivisionError, np.linalg.LinAlgError) as exc:
-            res["error"] = str(exc)
-        return pd.DataFrame([{key: pdf[key].iloc[0], **res}]).astype({"used_lag": "Int32", "nobs": "Int32", "stationary_5pct": "boolean"})
-
-    return df.select(key, "date", value).groupBy(key).applyInPandas(run, schema=schema)
+    rows = df.select(F.col(key).alias("k"), "date", F.col(value).cast("double").alias("y")).withColumn("t", F.row_number().over(Window.partitionBy("k").orderBy("date")) - 1)
+    of = Window.partitionBy("k")
+    rows = rows.withColumns({"n": F.count(F.lit(1)).over(of)})
+    most = F.least(F.floor(F.col("n") / 2) - 2, F.ceil(F.pow(F.col("n") / 100.0, F.lit(0.25)) * 12)).cast("int")
+    rows = rows.withColumn("lags", F.greatest(most if lag is None else F.lit(int(lag)), F.lit(0)))
+    block = F.floor(F.col("t") / BLOCK_DAYS)
+    # the last lags + 1 values of a block also begin the next one
+    both = F.when((F.col("t") % BLOCK_DAYS >= BLOCK_DAYS - 1 - F.col("lags")) & (F.col("t") < F.col("n") - 1), F.array(block, block + 1)).otherwise(F.array(block))
+    dealt = rows.withColumn("block", F.explode(both))
+
+    def sums(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("t")
+        y, lags = frame["y"].to_numpy(float), int(frame["lags"].iloc[0])
+        whole = np.isfinite(y).all()
+        x = _adf_rows(y, lags) if whole and len(y) > lags + 1 else np.zeros((0, lags + 3))
+        # rows of the first block that only fewer lags have
+        head = y[:lags + 1] if frame["t"].iloc[0] == 0 else y[:0]
+        return pd.DataFrame({"k": [frame["k"].iloc[0]], "lags": [lags], "n": [frame["n"].iloc[0]], "gram": [(x.T @ x).ravel()],
+                             "head": [head], "whole": [whole], "low": [y.min() if whole else None], "high": [y.max() if whole else None]})
+
+    parts = dealt.groupBy("k", "block").applyInPandas(
+        sums, f"k {key_type}, lags int, n long, gram array<double>, head array<double>, whole boolean, low double, high double")
+    total = (parts.select("k", "lags", "n", "whole", "low", "high", "head", F.posexplode("gram").alias("pos", "g"))
+                  .groupBy("k", "pos").agg(F.sum("g").alias("g"), F.max("lags").alias("lags"), F.max("n").alias("n"), F.min("whole").alias("whole"),
+                                           F.min("low").alias("low"), F.max("high").alias("high"), F.max_by("head", F.size("head")).alias("head"))
+                  .groupBy("k").agg(F.sort_array(F.collect_list(F.struct("pos", "g"))).alias("gram"), F.max("lags").alias("lags"), F.max("n").alias("n"),
+                                    F.min("whole").alias("whole"), F.min("low").alias("low"), F.max("high").alias("high"), F.max_by("head", F.size("head")).alias("head"))
+                  .select("k", F.col("gram.g").alias("gram"), "lags", "n", "whole", "low", "high", "head"))
+    fields = "adf_stat double, p_value double, used_lag int, nobs int, crit_1 double, crit_5 double, crit_10 double, stationary_5pct boolean, error string"
+    names = [f.split()[0] for f in fields.split(", ")]
+
+    def one(gram, lags, n, whole, low, high, head) -> dict:
+        if n < MIN_ADF_DAYS:
+            raise NoStatistic(f"fewer than {MIN_ADF_DAYS} values")
+        if not whole or low == high:
+            raise NoStatistic("the series is constant or holds a missing value")
+        gram = np.array(gram, float).reshape(lags + 3, lags + 3)
+        best = lags
+        if lag is None:
+            aic = [_adf_solve(gram, i, lags)[1] for i in range(lags + 1)]
+            best = min(range(lags + 1), key=lambda i: (round(aic[i], 9), i))
+        # rows that have the chosen lags, but not all candidates
+        extra = _adf_rows(np.asarray(head, float), best) if lags > best else np.zeros((0, best + 3))
+        use = [*range(best + 2), lags + 2]
+        gram[np.ix_(use, use)] += extra.T @ extra
+        stat, _, _, rows_used = _adf_solve(gram, best, lags)
+        crit = {c: b[0] + b[1] / rows_used + b[2] / rows_used ** 2 + b[3] / rows_used ** 3 for c, b in ADF_CRIT_CONST.items()}
+        return {"adf_stat": stat, "p_value": adf_p_value(stat), "used_lag": best, "nobs": rows_used, "crit_1": crit["1%"],
+                "crit_5": crit["5%"], "crit_10": crit["10%"], "stationary_5pct": bool(stat < crit["5%"])}
+
+    def solve(frames):
+        for frame in frames:
+            out = []
+            for r in frame.itertuples(index=False):
+                found = dict.fromkeys(names)
+                try:
+                    found |= one(r.gram, int(r.lags), int(r.n), r.whole, r.low, r.high, r.head)
+                except (NoStatistic, np.linalg.LinAlgError) as exc:
+                    found["error"] = str(exc)
+                out.append({"k": r.k, **found})
+            yield pd.DataFrame(out, columns=["k", *names]).astype({"used_lag": "Int32", "nobs": "Int32", "stationary_5pct": "boolean"})
+
+    return total.mapInPandas(solve, f"k {key_type}, {fields}").withColumnRenamed("k", key)

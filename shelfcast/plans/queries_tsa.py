@@ -100,21 +100,48 @@ def q_daily_acf(spark, sf_dir):
     return rounded(tsa.acf(_daily_series(spark, sf_dir), "series", "sales", tsa.ACF_LAGS))
 
 
-@register("daily_total_pacf", None)
+_ctes56, _body56 = _acf_sql("dts", "series", tsa.PACF_LAGS)
+_DAILY = "dts AS (SELECT 'total' AS series, date, sum(sales) AS sales FROM panel GROUP BY date),"
+
+
+@register("daily_total_acf_56", with_panel(_body56, extra_ctes=_DAILY + _ctes56))
+def q_daily_acf_56(spark, sf_dir):
+    """Autocorrelation to lag 56 of the aggregate daily total (the notebook's plot)."""
+    return rounded(tsa.acf(_daily_series(spark, sf_dir), "series", "sales", tsa.PACF_LAGS))
+
+
+def _pacf_sql(src: str, key: str, nlags: int, extra: str = "") -> str:
+    """Durbin-Levinson as a recursive query: a row per order carries the coefficients."""
+    ctes, _ = _acf_sql(src, key, nlags)
+    ctes = extra + ctes + f""",
+rr AS (SELECT {key}, [{", ".join(f"c{k} / c0" for k in range(0, nlags + 1))}] AS r FROM sm),
+lev AS (
+  SELECT {key}, 0 AS lag, []::DOUBLE[] AS phi, 1.0::DOUBLE AS sigma, r, 1.0::DOUBLE AS p FROM rr
+  UNION ALL
+  SELECT {key}, lag + 1, list_concat(list_transform(range(1, lag + 1), lambda j: phi[j] - q * phi[lag + 1 - j]), [q]),
+         sigma * (1 - q * q), r, q
+  FROM (SELECT *, (r[lag + 2] - coalesce(list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * r[lag + 2 - j])), 0)) / sigma AS q
+        FROM lev WHERE lag < {nlags})
+)"""
+    sql = with_panel(f"SELECT {key}, lag, round(p, 6) AS pacf FROM lev", extra_ctes=ctes)
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("daily_total_pacf", _pacf_sql("dts", "series", tsa.PACF_LAGS, _DAILY))
 def q_daily_pacf(spark, sf_dir):
     """Partial autocorrelation to lag 56 of the daily total (Yule-Walker, Levinson)."""
-    return tsa.pacf(_daily_series(spark, sf_dir), "series", "sales", tsa.PACF_LAGS)
+    return rounded(tsa.pacf(_daily_series(spark, sf_dir), "series", "sales", tsa.PACF_LAGS))
 
 
-@register("series_pacf", None)
+@register("series_pacf", _pacf_sql("panel", "id", tsa.PACF_LAGS))
 def q_series_pacf(spark, sf_dir):
     """X3 for every series."""
-    return tsa.pacf(_panel(spark, sf_dir), "id", "sales", tsa.PACF_LAGS)
+    return rounded(tsa.pacf(_panel(spark, sf_dir), "id", "sales", tsa.PACF_LAGS))
 
 
 @register("daily_total_adf", None)
 def q_daily_adf(spark, sf_dir):
-    """ADF test of the daily total, lag by AIC, verdict at 5%."""
+    """ADF test of the daily total, lag by AIC, p-value and verdict at 5%."""
     return tsa.adf(_daily_series(spark, sf_dir), "series", "sales")
 
 
@@ -122,3 +149,35 @@ def q_daily_adf(spark, sf_dir):
 def q_series_adf(spark, sf_dir):
     """X4 for every series."""
     return tsa.adf(_panel(spark, sf_dir), "id", "sales")
+
+
+def _adf_sql(src: str, key: str, extra: str = "") -> str:
+    """ADF with one lag and a constant by the normal equations of centred variables."""
+    crit = {n: tsa.ADF_CRIT_CONST[f"{n}%"] for n in (1, 5, 10)}
+    crits = ", ".join(f"round({b[0]} + {b[1]} / n + {b[2]} / n ** 2 + {b[3]} / n ** 3, 6) AS crit_{n}" for n, b in crit.items())
+    ctes = extra + f"""
+yy AS (SELECT {key} AS k, date, CAST(sales AS DOUBLE) AS y, lag(CAST(sales AS DOUBLE)) OVER (PARTITION BY {key} ORDER BY date) AS y1 FROM {src}),
+dy AS (SELECT k, y - y1 AS d, y1, lag(y - y1) OVER (PARTITION BY k ORDER BY date) AS d1 FROM yy),
+sm AS (SELECT k, count(*) AS n, count(*) * var_pop(y1) AS s11, count(*) * var_pop(d1) AS s22, count(*) * covar_pop(y1, d1) AS s12,
+              count(*) * covar_pop(y1, d) AS s1y, count(*) * covar_pop(d1, d) AS s2y, count(*) * var_pop(d) AS syy
+       FROM dy WHERE d1 IS NOT NULL GROUP BY k),
+bb AS (SELECT *, s11 * s22 - s12 * s12 AS det, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+              (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM sm),
+tt AS (SELECT *, b1 / sqrt((syy - b1 * s1y - b2 * s2y) / (n - 3) * s22 / det) AS stat FROM bb)"""
+    return with_panel(f"SELECT k AS {key}, round(stat, 6) AS adf_stat, 1 AS used_lag, CAST(n AS INTEGER) AS nobs, {crits} FROM tt", extra_ctes=ctes)
+
+
+def _fixed_lag(out, key):
+    return rounded(out.select(key, "adf_stat", "used_lag", "nobs", "crit_1", "crit_5", "crit_10"))
+
+
+@register("series_adf_one_lag", _adf_sql("panel", "id"))
+def q_series_adf_one_lag(spark, sf_dir):
+    """X4 with one lag for every series, for the oracle."""
+    return _fixed_lag(tsa.adf(_panel(spark, sf_dir), "id", "sales", lag=1), "id")
+
+
+@register("daily_total_adf_one_lag", _adf_sql("dts", "series", _DAILY))
+def q_daily_adf_one_lag(spark, sf_dir):
+    """X4 with one lag of the daily total, for the oracle."""
+    return _fixed_lag(tsa.adf(_daily_series(spark, sf_dir), "series", "sales", lag=1), "series")
