@@ -57,3 +57,4 @@ def _load() -> None:
     from shelfcast.plans import queries_explore  # noqa: F401
     from shelfcast.plans import queries_tsa  # noqa: F401
     from shelfcast.plans import queries_models  # noqa: F401
+    from shelfcast.plans import queries_store  # noqa: F401

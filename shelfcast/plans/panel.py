@@ -20,12 +20,13 @@ more than the number of days: a hot series in the line items cannot form a hot k
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import calendar as cal_fn
 from shelfcast.functions import events as ev_fn
 from shelfcast.schemas import CALENDAR_COLUMNS, ID_COLUMNS, PANEL_COLUMNS
+from shelfcast.sources.sinks import materialize
 from shelfcast.sources.tables import read_table
 
 # ---- fixed values of our star-schema mapping (see FIXTURES.md part B) --------------------
@@ -67,10 +68,14 @@ def with_hierarchy(df: DataFrame) -> DataFrame:
               .withColumn("id", F.concat_ws("_", "item_id", "store_id", F.lit("evaluation"))))
 
 
-def star_facts(spark: SparkSession, sf_dir: str, store_level: str = "region") -> DataFrame:
-    """One row per line item: date, series hierarchy, quantity and unit price."""
+def star_facts(spark: SparkSession, sf_dir: str, store_level: str = "region", seen: Observation | None = None) -> DataFrame:
+    """One row per line item: date, series hierarchy, quantity and unit price.  ``seen``
+    observes the first and last ship day (``lo``, ``hi``) of all line items on the way."""
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"])
+    if seen is not None:
+        day = F.to_date("l_shipdate")
+        li = li.observe(seen, F.min(day).alias("lo"), F.max(day).alias("hi"))
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     geo = store_geography(spark, sf_dir, store_level)
@@ -117,6 +122,14 @@ def date_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
     return lo, hi
 
 
+def observed_daily(spark: SparkSession, sf_dir: str, store_level: str = "region") -> tuple[DataFrame, Column, Column]:
+    """(daily aggregate, first day, last day) from one scan of the line items."""
+    seen = Observation()
+    daily = materialize(daily_sales(star_facts(spark, sf_dir, store_level, seen)))
+    lo, hi = (F.lit(seen.get[c]).cast("date") for c in ("lo", "hi"))
+    return daily, lo, hi
+
+
 def densify(daily: DataFrame, lo: Column, hi: Column, value_cols: list[str]) -> DataFrame:
     """Dense (series x day) rows from sparse daily rows, in one window pass and no join.
 
@@ -173,10 +186,11 @@ def detect_stockouts(df: DataFrame) -> DataFrame:
 
 
 def build_panel(spark: SparkSession, sf_dir: str, store_level: str = "region") -> DataFrame:
-    """Dense long panel from the star-schema tables: line items read for the daily facts and once more for the date bounds, two
-    exchanges (the (item, store, day) aggregate, then ``id`` for every per-series window)."""
-    daily = daily_sales(star_facts(spark, sf_dir, store_level))
-    lo, hi = date_bounds(spark, sf_dir)
+    """Dense long panel from the star-schema tables: the line items are read once, two
+    exchanges (the (item, store, day) aggregate, then ``id`` for every per-series window).
+    The aggregate is written to the checkpoint folder, and the first and last day are
+    observed while it is."""
+    daily, lo, hi = observed_daily(spark, sf_dir, store_level)
     calendar = derive_calendar(spark, lo, hi)
     week = Window.partitionBy("id", "wm_yr_wk")
     panel = (densify(daily, lo, hi, ["sales", "price_sum", "n_price"])

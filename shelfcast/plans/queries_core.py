@@ -22,9 +22,10 @@ def panel_of(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFra
     return materialize(build_panel(spark, sf_dir, level))
 
 
-def cutoffs(spark: SparkSession, sf_dir: str) -> dict:
-    """train_end / val_end / last_day as lazy scalar Columns (last day of the line items)."""
-    _, hi = date_bounds(spark, sf_dir)
+def cutoffs(spark: SparkSession, sf_dir: str, panel: DataFrame | None = None) -> dict:
+    """train_end / val_end / last_day as lazy scalar Columns (last day of the line items,
+    which is also that of a dense ``panel`` made from them)."""
+    hi = date_bounds(spark, sf_dir)[1] if panel is None else panel.agg(F.max("date")).scalar()
     return fcst.split_dates(hi, H)
 
 
@@ -153,7 +154,7 @@ def q_features(spark, sf_dir):
     training span only, trap D3)."""
     panel = panel_of(spark, sf_dir)
     lo, _ = date_bounds(spark, sf_dir)
-    df = feat.build_features(panel, until=cutoffs(spark, sf_dir)["train_end"],
+    df = feat.build_features(panel, until=cutoffs(spark, sf_dir, panel)["train_end"],
                              min_date=feat.burn_in_start(lo))
     return rounded(df)
 
@@ -162,7 +163,7 @@ def q_features(spark, sf_dir):
 
 def naive_scored(spark, sf_dir, season: int = 7, level: str = "region"):
     panel = panel_of(spark, sf_dir, level)
-    cut = cutoffs(spark, sf_dir)
+    cut = cutoffs(spark, sf_dir, panel)
     fc, failed = fcst.seasonal_naive(panel, cut["val_end"], H, season)
     history = panel.filter(F.col("date") <= cut["val_end"])
     return panel, fc, failed, fcst.scored_frame(fc, panel, cut["val_end"], H), history, cut

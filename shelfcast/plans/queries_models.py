@@ -25,7 +25,7 @@ from shelfcast.sources.sinks import materialize
 
 def _model_data(spark, sf_dir):
     panel = panel_of(spark, sf_dir)
-    cut = cutoffs(spark, sf_dir)
+    cut = cutoffs(spark, sf_dir, panel)
     features = materialize(mdl.model_frame(feat.build_features(panel, until=cut["train_end"])))
     cols = feat.feature_columns(features)
     d = F.col("date")
@@ -138,7 +138,7 @@ def q_tuning_checks(spark, sf_dir):
 
 def _sarima(spark, sf_dir, auto=False):
     panel = panel_of(spark, sf_dir)
-    cut = cutoffs(spark, sf_dir)
+    cut = cutoffs(spark, sf_dir, panel)
     history = panel.filter(F.col("date") <= cut["val_end"])
     fc, failed = sarima_forecast(history, cut["val_end"], H, auto=auto)
     return panel, history, fc, failed
@@ -190,7 +190,7 @@ def q_model_board(spark, sf_dir):
     """E7 + T5: seasonal naive, SARIMA, direct and recursive trees on one test span, ranked
     per span of horizon steps; no model sees sales of the test span."""
     panel = panel_of(spark, sf_dir)
-    cut = cutoffs(spark, sf_dir)
+    cut = cutoffs(spark, sf_dir, panel)
     history = panel.filter(F.col("date") <= cut["val_end"])
     with ThreadPoolExecutor(2) as pool:  # the two tree fits submit their jobs side by side
         direct, recursive = (pool.submit(f, panel, cut) for f in (_direct, _recursive))

@@ -5,6 +5,8 @@ All writes go through the DataFrame writer; nothing passes through the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,30 +53,86 @@ def existing_partitions(spark: SparkSession, path: str, column: str = "store_id"
     return spark.createDataFrame([], f"{column} string") if table is None else table.select(column).distinct()
 
 
-def write_features_resumable(features: DataFrame, path: str, column: str = "store_id") -> DataFrame:
-    """Write only the stores that are not built yet (resume after an interruption).
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new place for a table under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+MANIFEST = "_manifest"
+
+
+def _checked(df: DataFrame, column: str) -> DataFrame:
+    """Rows and an order-free checksum per value of ``column``."""
+    others = sorted(c for c in df.columns if c != column)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in others]).cast("decimal(38,0)")
+    return df.groupBy(F.col(column).cast("string").alias(column)).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(row).alias("checksum"))
+
+
+def committed(spark: SparkSession, path: str, column: str = "store_id") -> DataFrame | None:
+    """(column, n_rows, checksum) of the stores whose write was finished; None if the table
+    has no manifest.  A store written again counts by its last entry."""
+    where = f"{path.rstrip('/')}/{MANIFEST}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(where)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return None
+    found = spark.read.schema(f"{column} string, n_rows long, checksum decimal(38,0), at timestamp").parquet(where)
+    return found.groupBy(column).agg(F.max_by("n_rows", "at").alias("n_rows"), F.max_by("checksum", "at").alias("checksum"))
 
-    A left-anti join against the partitions already on disk selects the missing stores;
-    dynamic partition overwrite replaces only the partitions being written, so finished
-    stores are never rewritten.  Returns the list of stores written.
+
+def _commit(spark: SparkSession, path: str, entries: DataFrame) -> None:
+    entries.withColumn("at", F.current_timestamp()).write.mode("append").parquet(f"{path.rstrip('/')}/{MANIFEST}")
+
+
+def write_features_resumable(features: DataFrame, path: str, column: str = "store_id", stores: list[str] | None = None) -> DataFrame:
+    """Write only the stores that are not committed yet (resume after an interruption).
+
+    A store counts as built once the manifest names it with the rows and the checksum that
+    were read back after its files were in place, so what a broken run left under its
+    partition is written anew.  Dynamic partition overwrite replaces only the partitions being
+    written; finished stores are never rewritten.  ``stores`` names the wanted ones;
+    without it the feature plan is run once for their list.  Returns the stores written.
     """
     spark = features.sparkSession
-    done = existing_partitions(spark, path, column)
+    schema = f"{column} string"
+    if committed(spark, path, column) is None:  # an empty manifest marks the table as one with commits
+        _commit(spark, path, spark.createDataFrame([], f"{schema}, n_rows long, checksum decimal(38,0)"))
+    done = committed(spark, path, column).select(column)
+    wanted = features.select(F.col(column).cast("string")).distinct() if stores is None else spark.createDataFrame([(s,) for s in stores], schema)
     # the list of missing stores is fixed before writing (one value per store: bounded)
-    todo = [r[0] for r in features.select(column).distinct().join(done, column, "left_anti").collect()]
+    todo = [r[0] for r in wanted.join(done, column, "left_anti").collect()]
     if todo:
-        (features.filter(F.col(column).isin(todo))
+        (features.filter(F.col(column).cast("string").isin(todo))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy(column).parquet(path))
-    return spark.createDataFrame([(v,) for v in todo], f"{column} string")
+        written = _read_partitioned(spark, path, column)
+        if written is not None:
+            _commit(spark, path, _checked(written.filter(F.col(column).isin(todo)), column))
+    return spark.createDataFrame([(v,) for v in todo], schema)
+
+
+def verify_features(spark: SparkSession, path: str, column: str = "store_id") -> DataFrame:
+    """(column, n_rows, checksum, intact) of every committed store: whether its files still
+    hold what was committed."""
+    table, known = _read_partitioned(spark, path, column), committed(spark, path, column)
+    if table is None or known is None:
+        raise FileNotFoundError(f"no committed features under {path}")
+    now = _checked(table, column).select(column, F.col("n_rows").alias("_n"), F.col("checksum").alias("_c"))
+    return known.join(now, column, "left").select(
+        column, "n_rows", "checksum", (F.col("n_rows").eqNullSafe(F.col("_n")) & F.col("checksum").eqNullSafe(F.col("_c"))).alias("intact"))
 
 
 def read_features(spark: SparkSession, path: str, stores: list[str] | None = None) -> DataFrame:
-    """Feature scan with store pruning; raises if nothing has been built."""
+    """Feature scan with store pruning; raises if nothing has been built.  Of a table
+    with a manifest only committed stores are read."""
     df = _read_partitioned(spark, path, "store_id")
+    known = committed(spark, path)
+    if known is not None:
+        have = [r[0] for r in known.select("store_id").collect()]  # one value per store
+        stores = [s for s in have if not stores or s in stores]
+        df = df if have else None
     if df is None:
         raise FileNotFoundError(f"no feature files under {path}; build the features first")
-    return df.filter(F.col("store_id").isin(stores)) if stores else df
+    return df.filter(F.col("store_id").isin(stores)) if stores or known is not None else df
 
 
 def write_forecast_csv(wide: DataFrame, path: str) -> None:
@@ -84,7 +142,7 @@ def write_forecast_csv(wide: DataFrame, path: str) -> None:
 
 def read_forecast_csv(spark: SparkSession, path: str, horizon: int = 28) -> DataFrame:
     schema = "id string, " + ", ".join(f"F{h} double" for h in range(1, horizon + 1))
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
 
 
 def save_encoding_stats(stats: dict[str, DataFrame], path: str) -> None:

@@ -89,3 +89,93 @@ def test_other_faults_are_raised(spark, tmpdir_path):
     with pytest.raises(Exception) as found:
         sinks.existing_partitions(spark, "nosuchscheme://bucket/panel")
     assert "No FileSystem" in str(found.value) or "UnsupportedFileSystem" in str(found.value)
+
+
+def _csv(tmpdir_path, name, text):
+    path = f"{tmpdir_path}/{name}"
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+def test_csv_columns_are_found_by_name(spark, tmpdir_path):
+    from shelfcast.sources import retail
+    prices = _csv(tmpdir_path, "p.csv", "item_id,note,sell_price,store_id,wm_yr_wk\ni1,x,2.5,S1,11101\ni2,,,S2,11102\n")
+    assert [tuple(r) for r in retail.read_prices_csv(spark, prices).orderBy("item_id").collect()] == [("S1", "i1", 11101, 2.5), ("S2", "i2", 11102, None)]
+    sales = _csv(tmpdir_path, "s.csv", "d_2,id,item_id,d_10,dept_id,cat_id,store_id,state_id,d_1,d_3,d_4,d_5,d_6,d_7,d_8,d_9\n"
+                                       "2,a,i1,10,D,C,S1,CA,1,3,4,5,6,7,8,9\n20,b,i1,100,D,C,S2,CA,10,30,40,50,60,70,80,90\n")
+    out = retail.read_sales_csv(spark, sales, sample_stores=["S2"])
+    assert out.columns[6:] == [f"d_{i}" for i in range(1, 11)]
+    assert [tuple(r) for r in out.collect()] == [("b", "i1", "D", "C", "S2", "CA", *range(10, 101, 10))]
+    with pytest.raises(ValueError, match="10 day columns, 2 expected"):
+        retail.read_sales_csv(spark, sales, n_days=2)
+    with pytest.raises(ValueError, match="missing columns: sell_price"):
+        retail.read_prices_csv(spark, _csv(tmpdir_path, "q.csv", "store_id,item_id,wm_yr_wk\nS,i,1\n"))
+    with pytest.raises(ValueError, match="not d_1 to d_2"):
+        retail.read_sales_csv(spark, _csv(tmpdir_path, "g.csv", "id,item_id,dept_id,cat_id,store_id,state_id,d_1,d_3\n"))
+
+
+def test_malformed_csv_rows_fail_or_are_kept_apart(spark, tmpdir_path):
+    from shelfcast.sources import retail
+    text = "store_id,item_id,wm_yr_wk,sell_price\nS1,i1,11101,2.5\nS1,i2,11101\nS1,i3,11101,2.5,9\nS1,i4,week,1.0\nS1,i5,11102,3.5\n"
+    path = _csv(tmpdir_path, "m.csv", text)
+    for df in (retail.read_prices_csv(spark, path), retail.read_prices_csv(spark, path).select("item_id")):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            df.collect()
+    rows = {r["_malformed"] or r["item_id"]: r for r in retail.read_prices_csv(spark, path, quarantine=True).collect()}
+    assert set(rows) == {"i1", "i5", "S1,i2,11101", "S1,i3,11101,2.5,9", "S1,i4,week,1.0"}
+    assert rows["i5"]["sell_price"] == 3.5
+    # a second file with another header is not read by the first one's order
+    import os
+    os.makedirs(f"{tmpdir_path}/two")
+    _csv(tmpdir_path, "two/a.csv", "store_id,item_id,wm_yr_wk,sell_price\nS1,i1,11101,2.5\n")
+    _csv(tmpdir_path, "two/b.csv", "item_id,store_id,wm_yr_wk,sell_price\ni1,S1,11101,2.5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        retail.read_prices_csv(spark, f"{tmpdir_path}/two").collect()
+
+
+def test_half_written_store_is_rebuilt(spark, tmpdir_path):
+    path = f"{tmpdir_path}/features"
+    frame = _frame(spark, ["A", "B"])
+    sinks.write_features_resumable(frame.filter("store_id = 'A'"), path)
+    # the files of a broken run: half of B, no commit
+    frame.filter("store_id = 'B' AND sales < 2").write.mode("append").partitionBy("store_id").parquet(path)
+    assert {r["store_id"] for r in sinks.read_features(spark, path).collect()} == {"A"}
+    again = sinks.write_features_resumable(frame, path, stores=["A", "B"])
+    assert [r["store_id"] for r in again.collect()] == ["B"]
+    assert sinks.read_features(spark, path).count() == 6 and sinks.read_features(spark, path, ["B"]).count() == 3
+    assert {(r["store_id"], r["n_rows"], r["intact"]) for r in sinks.verify_features(spark, path).collect()} == {("A", 3, True), ("B", 3, True)}
+    assert sinks.write_features_resumable(frame, path).count() == 0
+    # files that were changed after the commit are noticed
+    frame.filter("store_id = 'B'").withColumn("sales", F.lit(0.0)).write.mode("append").partitionBy("store_id").parquet(path)
+    assert {r["store_id"]: r["intact"] for r in sinks.verify_features(spark, path).collect()} == {"A": True, "B": False}
+
+
+def test_nothing_committed_yet_raises(spark, tmpdir_path):
+    path = f"{tmpdir_path}/features"
+    sinks.write_features_resumable(_frame(spark, ["A"]).limit(0), path)
+    with pytest.raises(FileNotFoundError):
+        sinks.read_features(spark, path)
+
+
+def test_line_items_are_read_once_for_the_panel(spark, tmpdir_path):
+    """The panel's bounds come from the scan that also makes the daily aggregate."""
+    from shelfcast.plans import panel as pn
+    scans = []
+    real = pn.read_table
+
+    def counted(spark_, sf_dir, name, columns=None):
+        scans.append(name)
+        return real(spark_, sf_dir, name, columns)
+
+    pn.read_table = counted
+    try:
+        out = pn.build_panel(spark, "/root/testdata/sf0.001")
+    finally:
+        pn.read_table = real
+    assert scans.count("lineitem") == 1
+    lo, hi = pn.date_bounds(spark, "/root/testdata/sf0.001")
+    want = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
+    assert tuple(out.agg(F.min("date"), F.max("date")).first()) == (want["lo"], want["hi"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan
