@@ -20,7 +20,7 @@ and meet all cells; nothing is dropped then.
 
 Defined results: a vector that is NULL, empty, zero, or holds NULL or non-finite
 components links with nothing (and is its own component); vectors of different lengths
-link with nothing; rows with a NULL id have no component and take no part; repeated rows
+link with nothing; rows with a NULL id have no links and no component (``kept`` false); repeated rows
 count as separate vectors; an empty table gives no rows; other columns are not used.
 """
 
@@ -192,7 +192,7 @@ def _stars(mask: np.ndarray, lid: np.ndarray, rid: np.ndarray) -> tuple[np.ndarr
 
 def components(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE,
                cell_rows: int = CELL_ROWS) -> DataFrame:
-    """One row per row with an id: key, n_links, component_id, kept."""
+    """One row per row: key, n_links, component_id, kept."""
     r = math.acos(cosine)
     ids, nodes = distinct_vectors(rows, key, vector)
     nodes = materialize(nodes)
@@ -224,4 +224,6 @@ def components(rows: DataFrame, key: str = "vec_id", vector: str = "embedding",
                           (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     out = ids.filter("h1 IS NOT NULL").join(named, ["h1", "h2"]).select("id", "n_links", "component_id")
     rest = ids.filter("h1 IS NULL").select("id", F.lit(0).cast("long"), F.col("id"))
-    return out.union(rest).select(F.col("id").alias(key), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    unnamed = rows.filter(F.col(key).isNull()).select(F.lit(None).cast("long"), F.lit(0).cast("long"), F.lit(None).cast("long"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
+    return out.union(rest).union(unnamed).select(F.col("id").alias(key), "n_links", "component_id", kept.alias("kept"))

@@ -3,13 +3,15 @@
 Every source has a target share of the mixture.  With ``size`` its measure (characters)
 and ``total`` the measure wanted, each of its documents is repeated at the mean rate
 ``share * total / size``.  A document's count is drawn by inverting the Poisson
-distribution at a uniform number seeded by a hash of its id and text, so the draw is
-repeatable, needs no state, and is independent of partitioning.  The document is exploded by its
-count and all copies are dealt out by a hash: a global shuffle.
+distribution at a uniform number seeded by its id and a hash of its text, so the draw is
+repeatable, needs no state, and is independent of partitioning.  Rows that are equal in both
+are found first (only their keys are shuffled) and are also told apart by their place in the
+input, so each of them has a draw of its own.  The document is exploded by its count and all
+copies are dealt out by a hash: a global shuffle.
 
 Defined results: a NULL source is a source of its own; a NULL text has size 0 (a source
-with size 0 keeps rate 1); rows with equal id and text get equal counts; an empty table
-gives no rows.  Counts end at ``MAX_COPIES`` terms, where the tail is below 2**-52 for rates up
+with size 0 keeps rate 1); repeated rows, NULL ids among them, are drawn for one by one; an
+empty table gives no rows.  Counts end at ``MAX_COPIES`` terms, where the tail is below 2**-52 for rates up
 to ``MAX_RATE``; larger rates are split into equal parts, drawn one by one and added, so no draw is cut.
 """
 
@@ -25,6 +27,8 @@ MAX_RATE = 8.0
 MAX_COPIES = 64
 #: Rows of the rate table (one per source) that may be broadcast; beyond it, a shuffle join.
 BROADCAST_SOURCES = 10_000
+#: Keys of repeated rows (id and digest, about 60 bytes each) that may be broadcast.
+BROADCAST_REPEATS = 200_000
 BITS = 52
 
 
@@ -76,11 +80,10 @@ def source_rates(docs: DataFrame, source: str = "source", text: str = "text", we
 
 
 def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str = "text",
-        weights: dict[str, float] | None = None, power: float = 0.5, epochs: float = 1.0, seed: str = "mix",
-        by_text: bool = True) -> DataFrame:
+        weights: dict[str, float] | None = None, power: float = 0.5, epochs: float = 1.0, seed: str = "mix") -> DataFrame:
     """All columns of ``docs`` plus a struct ``mixed(rate, n_copies, copy)`` (an input
-    column of that name is replaced), one row per copy, in a globally shuffled order (hash partitions, sorted by the hash inside).
-    Without ``by_text`` the id alone seeds the draw, so rows that share an id (NULL too) share a count."""
+    column of that name is replaced), one row per copy, in a globally shuffled order (hash
+    partitions, sorted by the hash inside)."""
     spark = docs.sparkSession
     rates = materialize(source_rates(docs, source, text, weights, power, epochs)
                         .select(F.col("source").alias("from"), "rate"))
@@ -88,16 +91,23 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str
         rates = F.broadcast(rates)
     # the whole row travels as one struct, so no input column can clash with ours
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(source).alias("s"),
-                       F.col(key).alias("id"))
+                       F.col(key).cast("string").alias("id"), F.md5(F.col(text).cast("binary")).alias("digest"))
+    # rows that occur again, by id and text
+    again = materialize(rows.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                            .select(F.col("id").alias("id_"), F.col("digest").alias("digest_"), F.lit(True).alias("again")))
+    if row_count(again) <= BROADCAST_REPEATS:
+        again = F.broadcast(again)
+    rows = (rows.withColumn("place", F.monotonically_increasing_id())
+                .join(again, F.col("id").eqNullSafe(F.col("id_")) & F.col("digest").eqNullSafe(F.col("digest_")), "left"))
     parts = F.ceil(F.col("rate") / MAX_RATE).cast("int")
-    own = [F.col("id"), F.md5(F.col("doc")[text].cast("binary"))] if by_text else [F.col("id")]
+    own = [F.col("id"), F.col("digest"), F.when(F.col("again"), F.col("place")).otherwise(F.lit(0))]
     one = lambda i: poisson_count(F.col("rate") / parts, uniform(seed, *own, i))
     count = F.when(F.col("rate") <= 0, F.lit(0)).otherwise(
         F.aggregate(F.sequence(F.lit(1), parts), F.lit(0), lambda a, i: a + one(i)))
     copies = (rows.join(rates, F.col("s").eqNullSafe(F.col("from")))
                   .withColumn("n_copies", count).filter("n_copies > 0")
                   .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies")))))
-    deal = F.xxhash64(F.lit(seed), F.col("id"), F.col("doc")[text], F.col("copy"))
+    deal = F.xxhash64(F.lit(seed), *own, F.col("copy"))
     shuffled = (copies.select("doc", F.struct("rate", "n_copies", "copy").alias("mixed"), deal.alias("deal"))
                       .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "deal")
                       .sortWithinPartitions("deal"))

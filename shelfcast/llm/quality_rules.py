@@ -143,14 +143,17 @@ def certified_cutoffs(counted: DataFrame, labels: DataFrame, stratum: str, key:
                       rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per stratum with labels: ``stratum`` and a map rule name -> cutoff.
 
-    ``counted`` holds ``counts``; documents that fail the base rule are outside the
-    population.  Sums per (stratum, rule, cutoff) are combined before the shuffle.
+    ``counted`` holds ``counts`` and ``digest``, a hash of the text; documents that fail the
+    base rule are outside the population.  A trial is a distinct text of a stratum: copies and
+    repeated rows are no further evidence, and a text counts as good if all its labelled rows
+    are.  Sums per (stratum, rule, cutoff) are combined before the shuffle.
     """
     marks = (labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull())
                    .groupBy(F.col(key).alias("__key")).agg(F.min(label).alias("__good")))
     held = (counted.filter(~base_failed())
                    .select(F.col(key).alias("__key"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),
-                           "counts").join(marks, "__key"))
+                           "counts", "digest").join(marks, "__key")
+                   .groupBy("stratum", "digest").agg(F.any_value("counts").alias("counts"), F.min("__good").alias("__good")))
     ladders = F.array(*[
         F.struct(F.lit(r.name).alias("rule"), F.lit(i).alias("step"), F.lit(c).alias("cutoff"),
                  ((_ratio(r) > c) if r.above else (_ratio(r) < c)).alias("hit"))
@@ -187,6 +190,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", key:
     """One row per document row: key, the counts, ``base_failed``, ``kept``, and the names
     of the rules that rejected it.  Texts are read once; the counts are checkpointed."""
     small = docs.select(key, F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.col(text).alias("__text"))
+    small = small.withColumn("digest", F.unhex(F.md5(F.coalesce("__text", F.lit("")).cast("binary"))))
     counted = materialize(text_counts(small, "__text"))
     cuts = certified_cutoffs(counted, labels, "stratum", key, alpha=alpha, delta=delta, rules=rules)
     hits = F.filter(F.array(*[

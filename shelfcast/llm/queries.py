@@ -54,7 +54,7 @@ tri AS (SELECT doc_id, unnest(range(1, greatest(len(ws) - 1, 1))) AS p, ws FROM
 win AS (SELECT doc_id, p, ws[p] || ' ' || ws[p + 1] || ' ' || ws[p + 2] AS g FROM tri),
 dup AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
 rep AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM dup) GROUP BY 1),
-f AS (SELECT w.doc_id, stratum, len(ws)::BIGINT AS n_words,
+f AS (SELECT w.doc_id, stratum, text, len(ws)::BIGINT AS n_words,
         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
@@ -64,8 +64,9 @@ b AS (SELECT *, (n_words < {quality_rules.MIN_WORDS}
                  OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words) AS base_failed FROM f),
 lab AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1),
 rules(rule, step, cutoff, above) AS (VALUES {_ladder_sql()}),
+once AS (SELECT stratum, text, any_value(b) AS b, min(good) AS good FROM b JOIN lab USING (doc_id) WHERE NOT base_failed GROUP BY 1, 2),
 cross_ AS (SELECT stratum, rule, step, cutoff, above, good, {_ratio_sql()} AS v
-           FROM b JOIN lab USING (doc_id), rules WHERE NOT base_failed),
+           FROM (SELECT b.*, good FROM once), rules),
 cell AS (SELECT stratum, rule, step, cutoff,
            count(*) FILTER (good = 1) AS n, count(*) FILTER (good = 1 AND hit) AS k,
            count(*) FILTER (good = 0) AS nb, count(*) FILTER (good = 0 AND hit) AS kb
@@ -95,6 +96,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept")
 
 
+# for rows that are unique by id and text: repeated ones are told apart by their place
 OP9_SQL = f"""
 WITH s AS (SELECT source, sum(length(text))::DOUBLE AS size, pow(sum(length(text))::DOUBLE, 0.5) AS weight
            FROM documents GROUP BY 1),
@@ -103,7 +105,7 @@ r AS (SELECT source, CASE WHEN coalesce(size, 0) = 0 THEN 1.0 ELSE
 u AS (SELECT d.*, rate, ceil(rate / {mixing.MAX_RATE})::INT AS parts FROM documents d JOIN r
         ON d.source IS NOT DISTINCT FROM r.source),
 x AS (SELECT *, unnest(range(1, parts + 1)) AS i FROM u),
-y AS (SELECT *, (('0x' || left(md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || i), 13))::BIGINT::DOUBLE + 0.5)
+y AS (SELECT *, (('0x' || left(md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(md5(text), 'null') || ':0:' || i), 13))::BIGINT::DOUBLE + 0.5)
         / {2**mixing.BITS}.0 AS un FROM x),
 z AS (SELECT doc_id, text, lang, source, n_chars, sum(len(list_filter(range(0, {mixing.MAX_COPIES}),
         lambda k: un > list_sum(list_transform(range(0, k + 1),
@@ -114,16 +116,11 @@ SELECT doc_id, md5(coalesce(text, '')) AS text_md5, lang, source, n_chars, n_cop
 """
 
 
-def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # OP9_SQL draws by the id alone
-    return mixing.mix(read(spark, sf_dir, "documents"), by_text=False)
-
-
 @query(OP9_SQL)
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents repeated to square-root-of-size source weights, in shuffled order; the
     text itself travels through the shuffle and is returned with its md5."""
-    out = _op9(spark, sf_dir)
+    out = mixing.mix(read(spark, sf_dir, "documents"))
     return out.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), "lang", "source",
                       "n_chars", F.col("mixed.n_copies").alias("n_copies"), F.col("mixed.copy").alias("copy"))
 

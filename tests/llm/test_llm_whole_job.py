@@ -109,3 +109,30 @@ def test_near_copies_that_share_an_id_go(spark):
     assert ids == ["3", "7", "8", "None", "None", "None"]
     assert (3, text(1) + " again") in found and (None, "stands alone here") in found and (None, None) in found and (8, None) in found
     assert next(t for i, t in found if i == 7) in (text(0), text(0) + " more")
+
+
+# --- repeated rows ---------------------------------------------------------------------------
+
+def test_a_row_repeated_many_times_is_drawn_for_each_time(spark):
+    n = 3000
+    rows = [(5, "one text", "en", "same", 8)] * n + [(None, None, "en", "none", None)] * 50 + [(i, f"text {i:04d}", "en", "own", 9) for i in range(n)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(6)
+    rates = {r["source"]: r["rate"] for r in mixing.source_rates(docs, weights={"same": 0.3, "own": 0.7, "none": 0.0}).collect()}
+    out = {r["source"]: r["n"] for r in mixing.mix(docs, weights={"same": 0.3, "own": 0.7, "none": 0.0}).groupBy("source").agg(F.count("*").alias("n")).collect()}
+    for source in ("same", "own"):
+        assert abs(out[source] - rates[source] * n) < 5 * (rates[source] * n) ** 0.5
+    assert rates["none"] == 1.0 and 15 < out["none"] < 100
+
+
+def test_copies_are_one_trial_of_the_quality_rules(spark):
+    from shelfcast.llm import quality_rules
+    good = " ".join(f"word{i}" for i in range(60))
+    bad = " ".join(f"WORD{i} #" for i in range(60))
+    rows = [(i, good, "en") for i in range(1500)] + [(2000 + i, bad, "en") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i < 2000)) for i, _, _ in rows], "doc_id long, quality int")
+    out = quality_rules.apply_rules(docs, labels)
+    assert out.filter("NOT kept").count() == 0  # two texts are no evidence
+    many = [(i, good + f" own{i}", "en") for i in range(1500)] + [(2000 + i, bad + f" OWN{i} #", "en") for i in range(50)]
+    kept = quality_rules.apply_rules(spark.createDataFrame(many, docs.schema), spark.createDataFrame([(i, int(i < 2000)) for i, _, _ in many], labels.schema))
+    assert {r["doc_id"] < 2000 for r in kept.filter("kept").collect()} == {True} and kept.filter("kept").count() == 1500
