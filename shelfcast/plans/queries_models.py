@@ -16,10 +16,12 @@ from shelfcast.operators import metrics as met
 from shelfcast.operators import models as mdl
 from shelfcast.operators.rollout import roll_out
 from shelfcast.operators.sarima import sarima_forecast
+from shelfcast.operators import sequences as seqs
 from shelfcast.operators.sequences import sequence_windows
 from shelfcast.plans.catalog import register, rounded
 from shelfcast.plans.oracle_sql import panel_ctes, with_panel
-from shelfcast.plans.queries_core import CUT_CTE, H, NAIVE_CTES, cutoffs, naive_scored, panel_of
+from shelfcast.plans.queries_core import CUT_CTE, H, NAIVE_CTES, _feature_sql, cutoffs, naive_scored, panel_of, q_features
+from shelfcast.sources import sinks
 from shelfcast.sources.sinks import materialize
 
 
@@ -251,3 +253,33 @@ def q_sequences_text(spark, sf_dir):
     as_text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("int").cast("string")), ",")
     return rounded(seq.select("id", "date", "time_idx", as_text(F.col("encoder_target")).alias("encoder_target"),
                               as_text(F.col("decoder_target")).alias("decoder_target"), "target_mean", "target_std"))
+
+
+def _window_sums_sql() -> str:
+    inputs = seqs.KNOWN_AHEAD + seqs.PAST_ONLY
+    micros = lambda c, w: f"CAST(coalesce(sum(CAST(round({c} * 1000000) AS BIGINT)) OVER {w}, 0) AS BIGINT)"
+    sums = [f"{micros(c, 'e')} AS encoder_{c}" for c in inputs] + [f"{micros(c, 'd')} AS decoder_{c}" for c in seqs.KNOWN_AHEAD]
+    statics = ", ".join(seqs.STATIC_GROUPS + [f"round(first({c}) OVER (PARTITION BY id ORDER BY date), 4) AS {c}" for c in seqs.STATIC_NUMBERS])
+    return f"""SELECT * EXCLUDE (n_e, n_d) FROM (
+SELECT id, {statics}, date, CAST(datediff('day', min(date) OVER (), date) AS INTEGER) AS time_idx,
+       round(avg(CAST(sales AS DOUBLE)) OVER (PARTITION BY id), 4) AS target_mean,
+       round(coalesce(stddev_samp(CAST(sales AS DOUBLE)) OVER (PARTITION BY id), 0), 4) AS target_std,
+       {", ".join(sums)}, {micros("sales", "d")} AS decoder_target,
+       count(*) OVER e AS n_e, count(*) OVER d AS n_d
+FROM ({_feature_sql()})
+WINDOW e AS (PARTITION BY id ORDER BY date ROWS BETWEEN 55 PRECEDING AND CURRENT ROW),
+       d AS (PARTITION BY id ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 28 FOLLOWING)
+) WHERE n_e = 56 AND n_d = 28"""
+
+
+@register("sequence_windows_on_read", _window_sums_sql())
+def q_windows_on_read(spark, sf_dir):
+    """M9: all known, past-only and static inputs of every window of the feature matrix, cut
+    from one stored row per series; for the oracle arrays are summed, in whole millionths."""
+    path = sinks.scratch_path(spark, "series")
+    seqs.series_arrays(q_features(spark, sf_dir)).write.parquet(path)
+    stored = spark.read.parquet(path)
+    micros = lambda c: F.transform(c, lambda x: F.coalesce(F.round(x * 1_000_000).cast("long"), F.lit(0).cast("long")))
+    out = seqs.windows_on_read(stored.withColumns({c: micros(c) for c in stored.columns if c.startswith("x_")}))
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x).alias(c)
+    return rounded(out.select(*[total(c) if c.startswith(("encoder_", "decoder_")) else F.col(c) for c in out.columns]), 4)
