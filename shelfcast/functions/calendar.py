@@ -41,10 +41,6 @@ def is_month_end(date) -> Column:
     return (d == F.last_day(d)).cast("int")
 
 
-def iso_week(date) -> Column:
-    return F.weekofyear(_c(date))
-
-
 def cyclic_sin(x, period: int) -> Column:
     return F.sin(F.lit(2 * math.pi) * _c(x) / F.lit(period))
 

@@ -33,32 +33,15 @@ def clip_at_zero(x) -> Column:
     return F.greatest(_c(x), F.lit(0.0))
 
 
-def round_half_even(x, scale: int = 0) -> Column:
-    return F.bround(_c(x), scale)
-
-
 def guarded_ratio(num, den, eps: float = PRICE_EPS) -> Column:
     return _c(num) / (_c(den) + F.lit(eps))
 
 
-def safe_ratio(num, den) -> Column:
-    return F.try_divide(_c(num), _c(den))
-
-
-def relative_lift(a, b) -> Column:
-    """a / b - 1, NULL when b is zero."""
-    return F.try_divide(_c(a), _c(b)) - F.lit(1.0)
-
-
 def pct_change(x, base) -> Column:
     """(x - base) / base with NULL on a zero base (pandas would give +-inf)."""
     return F.try_divide(_c(x) - _c(base), _c(base))
 
 
-def contains_or_false(x, needle: str) -> Column:
-    return F.coalesce(_c(x).contains(needle), F.lit(False))
-
-
 def title_label(x) -> Column:
     """``store_item_enc`` -> ``Store Item Enc``."""
     return F.initcap(F.regexp_replace(_c(x), "_", " "))

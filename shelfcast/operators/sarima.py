@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.numeric import floor_zeros
 from shelfcast.plans.panel import series_window
 from shelfcast.session import ship_package
-from shelfcast.sources.tables import sized_broadcast
+from shelfcast.sources.sinks import materialize
 
 # ---- fixed values ----------------------------------------------------------------
 SEASON = 7
@@ -191,7 +191,7 @@ def sarima_forecast(history: DataFrame, cutoff, horizon: int = 28, order: tuple[
         F.count("w").alias("n_w"), F.sum(F.col("w") * F.col("w")).alias("r0"),
         *[F.sum(F.col("w") * F.col(f"l{k}")).alias(f"r{k}") for k in range(1, m + 1)])
     b1 = sums1.mapInPandas(_solve_stage1, "id string, b1 array<double>, error string")
-    b1 = sized_broadcast(b1, derived=True)   # one row per series
+    b1 = materialize(b1)  # one row per series, read for the fits and for the failures; joined by id
     ok1 = b1.filter(F.col("error").isNull()).select("id", "b1")
     # residuals of stage 1 (0 where the lags do not exist yet), same window partitioning
     fit1 = sum((F.col("b1")[i - 1] * F.col(f"l{i}") for i in range(1, m + 1)), F.lit(0.0))

@@ -9,7 +9,7 @@ from shelfcast.operators import explore as ex
 from shelfcast.operators import forecast as fcst
 from shelfcast.plans.catalog import register, rounded
 from shelfcast.plans.oracle_sql import with_panel
-from shelfcast.plans.panel import build_panel, raw_tables
+from shelfcast.plans.panel import build_panel, daily_sales, raw_tables, star_facts
 from shelfcast.plans.queries_core import NAIVE_CTES, naive_scored
 
 
@@ -161,7 +161,8 @@ prices_h AS (
 
 def _prices_h(spark, sf_dir):
     _, _, prices = raw_tables(spark, sf_dir, "region")
-    return ex.prices_with_hierarchy(prices, _panel(spark, sf_dir))
+    # the hierarchy comes from the days with sales: no dense panel for a few distinct rows
+    return ex.prices_with_hierarchy(prices, daily_sales(star_facts(spark, sf_dir)))
 
 
 @register("price_range_by_dept", with_panel("""

@@ -46,10 +46,3 @@ PANEL_COLUMNS = [
     "event_name_1", "event_type_1", "event_name_2", "event_type_2",
     "snap_CA", "snap_TX", "snap_WI", "sell_price", "is_stockout",
 ]
-
-FORECAST_LONG = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("h", T.IntegerType()),
-    T.StructField("date", T.DateType()),
-    T.StructField("yhat", T.DoubleType()),
-])
