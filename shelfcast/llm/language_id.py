@@ -35,6 +35,7 @@ ORDERS = (1, 2, 3)
 PER_LANGUAGE = 300
 LANDMARKS_PER_LANGUAGE = 64
 MAX_CHARS = 20_000
+#: Labels that are learned, the most frequent first.
 MAX_LANGUAGES = 500
 RIDGE = 1e-2
 UNKNOWN = "und"
@@ -136,15 +137,16 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id",
-        per_language: int = PER_LANGUAGE, max_chars: int = MAX_CHARS) -> Model:
+        per_language: int = PER_LANGUAGE, max_chars: int = MAX_CHARS, max_languages: int = MAX_LANGUAGES) -> Model:
     """Fit on a sample of ``labelled``: per language a share of its rows, by hash, that
-    makes about ``per_language`` of them."""
+    makes about ``per_language`` of them.  Of more than ``max_languages`` labels the most
+    frequent ones are learned (ties by name), so a dirty label column ends nothing; texts of
+    the others are given the nearest learned language."""
     rows = labelled.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(label).cast("string").alias("label")).filter(
         F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # one row per language comes to the driver
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    # one row per learned language comes to the driver
+    most = rows.groupBy("label").count().orderBy(F.col("count").desc(), "label").limit(max_languages)
+    counts = {r["label"]: r["count"] for r in most.collect()}
     if not counts:
         return Model([])
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, per_language / n)])

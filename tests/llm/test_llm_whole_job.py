@@ -136,3 +136,16 @@ def test_copies_are_one_trial_of_the_quality_rules(spark):
     many = [(i, good + f" own{i}", "en") for i in range(1500)] + [(2000 + i, bad + f" OWN{i} #", "en") for i in range(50)]
     kept = quality_rules.apply_rules(spark.createDataFrame(many, docs.schema), spark.createDataFrame([(i, int(i < 2000)) for i, _, _ in many], labels.schema))
     assert {r["doc_id"] < 2000 for r in kept.filter("kept").collect()} == {True} and kept.filter("kept").count() == 1500
+
+
+def test_a_dirty_label_column_leaves_the_frequent_languages(spark):
+    from shelfcast.llm import language_id
+    en, fr = "the cat sits on the mat and looks at the house", "le chat est sur la table et regarde la maison"
+    rows = [(i, f"{en} {i}", "en") for i in range(30)] + [(100 + i, f"{fr} {i}", "fr") for i in range(20)]
+    rows += [(200 + i, f"{en if i % 2 else fr} x{i}", f"junk{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(df, max_languages=2)
+    assert sorted(model.languages) == ["en", "fr"]
+    for r in language_id.predict(df, model).collect():
+        assert r["language"]["lang"] == ("en" if r["text"].startswith("the") else "fr")
+    assert len(language_id.fit(df).languages) == 42
