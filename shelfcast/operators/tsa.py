@@ -52,10 +52,11 @@ def decompose(df: DataFrame, key: str = "id", value: str = "sales", period: int
     den = period * period * k2
     kind = "long" if df.schema[value].dataType.typeName() in ("byte", "short", "integer", "long") else "double"
     src = df if since is None else df.filter(F.col("date") >= F.lit(since).cast("date"))
-    w = Window.partitionBy(key).orderBy("date")
+    w, whole = Window.partitionBy(key).orderBy("date"), Window.partitionBy(key)
+    # every sum is a window over the series, so all steps share one exchange and one sort
     base = src.select(key, "date", F.col(value).cast(kind).alias("x")).withColumns({
         "t": F.row_number().over(w) - 1,
-        "n": F.count("*").over(Window.partitionBy(key)),
+        "n": F.count("*").over(whole),
         "s": F.sum("x").over(w.rowsBetween(-h, h)).cast(kind),
     })
     t, n, s = F.col("t"), F.col("n"), F.col("s")
@@ -63,26 +64,23 @@ def decompose(df: DataFrame, key: str = "id", value: str = "sales", period: int
     cb = n - 1 - period                      # centre of the back fit points t = n-1-h-period .. n-2-h
     front = t.between(h, h + period - 1)
     back = t.between(n - 1 - h - period, n - 2 - h)
-    fits = base.groupBy(key).agg(
-        F.sum(F.when(front, s)).alias("a_f"), F.sum(F.when(front, (t - cf) * s)).alias("b_f"),
-        F.sum(F.when(back, s)).alias("a_b"), F.sum(F.when(back, (t - cb) * s)).alias("b_b"))
+    fitted = base.withColumns({
+        "a_f": F.sum(F.when(front, s)).over(whole), "b_f": F.sum(F.when(front, (t - cf) * s)).over(whole),
+        "a_b": F.sum(F.when(back, s)).over(whole), "b_b": F.sum(F.when(back, (t - cb) * s)).over(whole)})
     num = (F.when(n < 3 * period, F.lit(None).cast(kind))
             .when(t < h, F.lit(k2) * F.col("a_f") + F.lit(period) * F.col("b_f") * (t - cf))
             .when(t > n - 1 - h, F.lit(k2) * F.col("a_b") + F.lit(period) * F.col("b_b") * (t - cb))
             .otherwise(s * F.lit(period * k2)))
-    x = (base.join(fits, key)
-             .withColumn("num", num)
-             .withColumn("dn", F.lit(den) * F.col("x") - F.col("num"))
-             .withColumn("phase", (t % period).cast("int")))
-    phase_avg = x.groupBy(key, "phase").agg((F.sum("dn").cast("double") / F.count("dn")).alias("p"))
-    piv = phase_avg.groupBy(key).agg(*[F.max(F.when(F.col("phase") == q, F.col("p"))).alias(f"p{q}")
-                                       for q in range(period)])
+    x = (fitted.withColumn("num", num)
+               .withColumn("dn", F.lit(den) * F.col("x") - F.col("num"))
+               .withColumn("phase", (t % period).cast("int")))
+    of_phase = [F.when(F.col("phase") == q, F.col("dn")) for q in range(period)]
+    x = x.withColumns({f"p{q}": F.sum(v).over(whole).cast("double") / F.count(v).over(whole) for q, v in enumerate(of_phase)})
     total = F.col("p0")
     for q in range(1, period):
         total = total + F.col(f"p{q}")
-    means = piv.select(key, (total / F.lit(float(period))).alias("m"))
-    season = phase_avg.join(means, key).select(key, "phase", (F.col("p") - F.col("m")).alias("sn"))
-    out = x.join(season, [key, "phase"], "left")
+    season = F.get(F.array(*[F.col(f"p{q}") for q in range(period)]), F.col("phase")) - total / F.lit(float(period))
+    out = x.withColumn("sn", season)
     return out.select(
         key, "date", F.col("x").alias(value),
         (F.col("num").cast("double") / F.lit(float(den))).alias("trend"),

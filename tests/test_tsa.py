@@ -194,3 +194,13 @@ def test_decomposition_of_fractions(spark):
     for name, want in zip(("trend", "seasonal", "resid"), _decompose_np(x), strict=True):
         np.testing.assert_allclose(out[name], want, atol=1e-9)
     np.testing.assert_allclose(out["sales"], x)
+
+
+def test_decomposition_shares_one_exchange_and_gives_short_series_nulls(spark):
+    start = dt.date(2020, 1, 1)
+    rows = [(k, start + dt.timedelta(days=i), i % 5) for k, n in (("long", 40), ("short", 9), ("one", 1)) for i in range(n)]
+    out = tsa.decompose(spark.createDataFrame(rows, "id string, date date, sales int"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    seen = out.groupBy("id").agg(F.count("*").alias("n"), F.count("trend").alias("t"), F.count("seasonal").alias("s"), F.count("resid").alias("r"))
+    assert {tuple(r) for r in seen.collect()} == {("long", 40, 40, 40, 40), ("short", 9, 0, 0, 0), ("one", 1, 0, 0, 0)}
