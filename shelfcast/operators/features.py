@@ -17,6 +17,7 @@ from shelfcast.functions import calendar as cal_fn
 from shelfcast.functions import events as ev_fn
 from shelfcast.functions.numeric import PRICE_EPS, guarded_ratio, log1p_or_zero
 from shelfcast.plans.panel import series_window
+from shelfcast.sources.sinks import materialize
 from shelfcast.sources.tables import sized_broadcast
 
 # ---- fixed values (feature definitions that must equal the reference's) -------------
@@ -135,10 +136,10 @@ def target_encoding_stats(df: DataFrame, until=None) -> dict[str, DataFrame]:
     src = df if until is None else df.filter(F.col("date") <= (until if isinstance(until, Column) else F.lit(until).cast("date")))
     keys = ["item_id", "dept_id", "cat_id", "store_id"]
     sets = [ENCODING_LEVELS[name] for name in ENCODING_LEVELS]
-    # cached: the three levels and their size checks read one computation of it (small:
-    # one row per key of each level; rebuilt from lineage if an executor is lost)
-    allstats = (src.groupingSets(sets, *keys)
-                   .agg(F.avg("sales").alias("enc"), F.grouping_id().alias("_gid"))).cache()
+    # checkpointed (one row per key of each level): the three levels and their size checks read
+    # one computation of it; a cache is not found again by the joins of the levels
+    allstats = materialize(src.groupingSets(sets, *keys)
+                              .agg(F.avg("sales").alias("enc"), F.grouping_id().alias("_gid")))
     out = {}
     for name, level_keys in ENCODING_LEVELS.items():
         gid = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in level_keys)
@@ -162,16 +163,16 @@ def feature_columns(df: DataFrame) -> list[str]:
 
 def panel_statistics(panel: DataFrame, until=None) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Department-day mean price (J3) and the three encodings (A19) in one pass over the
-    panel: a single cached GROUPING SETS aggregate; the encodings average only the rows up
+    panel: a single checkpointed GROUPING SETS aggregate; the encodings average only the rows up
     to ``until`` (all rows when ``None``), the department mean uses every day."""
     keys = ["item_id", "dept_id", "cat_id", "store_id", "date"]
     dept_keys = ["store_id", "dept_id", "date"]
     sets = [ENCODING_LEVELS[name] for name in ENCODING_LEVELS] + [dept_keys]
     cut = None if until is None else (until if isinstance(until, Column) else F.lit(until).cast("date"))
     enc_sales = F.col("sales") if cut is None else F.when(F.col("date") <= cut, F.col("sales"))
-    allstats = (panel.groupingSets(sets, *keys)
-                     .agg(F.avg(enc_sales).alias("enc"), F.avg("sell_price").alias("_dept_mean"),
-                          F.grouping_id().alias("_gid"))).cache()
+    allstats = materialize(panel.groupingSets(sets, *keys)
+                                .agg(F.avg(enc_sales).alias("enc"), F.avg("sell_price").alias("_dept_mean"),
+                                     F.grouping_id().alias("_gid")))
 
     def gid(level_keys):
         return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in level_keys)

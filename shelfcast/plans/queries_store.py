@@ -10,8 +10,8 @@ from shelfcast.operators import features as feat
 from shelfcast.operators import forecast as fcst
 from shelfcast.plans.catalog import register, rounded
 from shelfcast.plans.oracle_sql import with_panel
-from shelfcast.plans.panel import preprocess, raw_tables, to_wide
-from shelfcast.plans.queries_core import CUT_CTE, H, NAIVE_CTES, PANEL_SQL, cutoffs, naive_scored, panel_of
+from shelfcast.plans.panel import date_bounds, preprocess, raw_tables, to_wide
+from shelfcast.plans.queries_core import CUT_CTE, H, NAIVE_CTES, PANEL_SQL, _feature_sql, cutoffs, naive_scored, panel_of
 from shelfcast.schemas import ID_COLUMNS
 from shelfcast.sources import retail, sinks
 
@@ -61,6 +61,18 @@ def q_feature_store(spark, sf_dir):
     return sums.join(sinks.verify_features(spark, path).select("store_id", "intact"), "store_id")
 
 
+@register("features_from_store", _feature_sql())
+def q_features_from_store(spark, sf_dir):
+    """S4 + S6: the panel stored by store and bucketed by series, the feature matrix built from
+    it; the windows find each series in one bucket."""
+    path = sinks.scratch_path(spark, "series")
+    panel = panel_of(spark, sf_dir)
+    sinks.write_series_table(panel, path)
+    stored = sinks.read_series_table(spark, path)
+    return rounded(feat.build_features(stored, until=cutoffs(spark, sf_dir, panel)["train_end"],
+                                       min_date=feat.burn_in_start(date_bounds(spark, sf_dir)[0])))
+
+
 @register("forecast_csv_roundtrip", with_panel(
     "SELECT id, " + ", ".join(f"round(max(CASE WHEN h = {h} THEN yhat END), 6) AS F{h}" for h in range(1, H + 1))
     + " FROM fc GROUP BY id", extra_ctes=NAIVE_CTES))

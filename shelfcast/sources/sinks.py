@@ -135,6 +135,49 @@ def read_features(spark: SparkSession, path: str, stores: list[str] | None = Non
     return df.filter(F.col("store_id").isin(stores)) if stores or known is not None else df
 
 
+LAYOUT = "_layout"
+
+
+def write_series_table(df: DataFrame, path: str, buckets: int | None = None, key: str = "id", order: str = "date",
+                       column: str = "store_id") -> DataFrame:
+    """S4/S6 for frames that are read again by series: one directory per store and in it one
+    file per bucket of ``key``, sorted by (``key``, ``order``).  Windows, groups and joins by
+    ``key`` on the table that is returned need no exchange.  ``buckets`` should follow the
+    data (bytes of the table / 128 MB); by default it is the session's shuffle partitions.
+    Each write is a new version; the layout, written last, names the one that is read, so a
+    broken write leaves the earlier version in place."""
+    spark, place, version = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(buckets, key).write.option("path", f"{place}/{version}")
+       .partitionBy(column).bucketBy(buckets, key).sortBy(key, order).saveAsTable(f"series_{version}"))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.table(f"series_{version}").schema.fields)
+    layout = spark.createDataFrame([(version, columns, column, key, order, buckets)],
+                                   "version string, columns string, store string, key string, sorted string, buckets int")
+    layout.withColumn("at", F.current_timestamp()).write.mode("append").parquet(f"{place}/{LAYOUT}")
+    return spark.table(f"series_{version}")
+
+
+def read_series_table(spark: SparkSession, path: str, stores: list[str] | None = None) -> DataFrame:
+    """The last finished version of ``write_series_table``, its buckets known to the planner;
+    only the directories of ``stores`` are read.  Raises if no write was finished."""
+    place = path.rstrip("/")
+    try:
+        layout = spark.read.parquet(f"{place}/{LAYOUT}").orderBy(F.desc("at")).first()
+    except AnalysisException as exc:
+        if exc.getCondition() in NOT_BUILT:
+            raise FileNotFoundError(f"no finished table under {path}") from exc
+        raise
+    name = f"series_{layout['version']}"
+    if not spark.catalog.tableExists(name):
+        where = f"{place}/{layout['version']}".replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {name} ({layout['columns']}) USING parquet PARTITIONED BY (`{layout['store']}`) "
+                  f"CLUSTERED BY (`{layout['key']}`) SORTED BY (`{layout['key']}`, `{layout['sorted']}`) INTO {layout['buckets']} BUCKETS "
+                  f"LOCATION '{where}'")
+        spark.catalog.recoverPartitions(name)
+    table = spark.table(name)
+    return table.filter(F.col(layout["store"]).isin(stores)) if stores else table
+
+
 def write_forecast_csv(wide: DataFrame, path: str) -> None:
     """Wide forecast (id, F1..Fh) as CSV with a header."""
     wide.write.mode("overwrite").option("header", True).csv(path)

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.sources.sinks import materialize
+
 # Bytes we are willing to ship to every executor.  Anything larger is joined by shuffle
 # (sort-merge / shuffled hash, AQE decides at runtime).
 DEFAULT_BROADCAST_BYTES = 64 << 20
@@ -22,15 +24,13 @@ def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES, der
 
     Meant for small *derived* tables (aggregates of a big table), whose planner size
     estimates are unreliable.  The rows are counted per partition and the counts added up;
-    beyond the bound the frame is returned unchanged and the planner shuffles it instead.  A ``derived`` frame is cached first, so the count and the join share one
-    computation (the cache is rebuilt from lineage if an executor is lost).  Base tables
-    need no call: the planner sizes them from file statistics.
+    beyond the bound the frame is returned unhinted and the planner shuffles it instead.
+    A ``derived`` frame is checkpointed first, so the count and the join share one
+    computation.  Base tables need no call: the planner sizes them from file statistics.
     """
     if derived:
-        df = df.cache()
+        df = materialize(df)
     width = sum(32 if f.dataType.typeName() == "string" else 16 for f in df.schema.fields)
     if df.count() * width <= max_bytes:
         return F.broadcast(df)
-    if derived:
-        df.unpersist()
     return df

@@ -179,3 +179,41 @@ def test_line_items_are_read_once_for_the_panel(spark, tmpdir_path):
     assert tuple(out.agg(F.min("date"), F.max("date")).first()) == (want["lo"], want["hi"])
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "lineitem" not in plan
+
+
+def test_series_table_needs_no_exchange_by_series(spark, tmpdir_path):
+    from shelfcast.operators import features as feat
+    path = f"{tmpdir_path}/it's a series"
+    with pytest.raises(FileNotFoundError):
+        sinks.read_series_table(spark, path)
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(70)]
+    rows = [(f"i{k}_{s}", s, d, float(i * k)) for s in ("01", "1", "B") for k in range(5) for i, d in enumerate(days)]
+    frame = spark.createDataFrame(rows, "id string, store_id string, date date, sales double")
+    written = sinks.write_series_table(frame, path, buckets=3)
+    spark.sql("DROP TABLE " + next(t.name for t in spark.catalog.listTables() if t.name.startswith("series_")))  # as in another session
+    read = sinks.read_series_table(spark, path)
+    assert sorted(read.select(*frame.columns).collect()) == sorted(frame.collect()) and written.columns == read.columns
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    lags = feat.add_rolling_features(feat.add_lag_features(read))
+    assert "Exchange" not in plan(lags) and "Exchange" not in plan(read.groupBy("id").agg(F.sum("sales")))
+    assert "Exchange" in plan(feat.add_lag_features(frame))
+    want = feat.add_rolling_features(feat.add_lag_features(frame))
+    assert sorted(map(str, lags.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    some = sinks.read_series_table(spark, path, ["01"])
+    assert some.count() == 350 and "(store_id" in plan(some).split("PartitionFilters: ")[1].split("]")[0]
+    # a later version is read, with its own buckets and columns; a broken write is not
+    sinks.write_series_table(frame.filter("store_id = 'B'").withColumn("more", F.lit(1)), path, buckets=2)
+    frame.write.partitionBy("store_id").parquet(f"{path}/broken")
+    again = sinks.read_series_table(spark, path)
+    assert again.count() == 350 and "more" in again.columns
+
+
+def test_feature_statistics_read_the_panel_once(spark, tmpdir_path):
+    from shelfcast.operators import features as feat
+    from shelfcast.plans.panel import build_panel
+    out = feat.build_features(sinks.materialize(build_panel(spark, "/root/testdata/sf0.001")), until="2001-09-09")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Exchange hashpartitioning") == 1
