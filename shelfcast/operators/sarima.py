@@ -24,7 +24,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import floor_zeros
@@ -114,9 +114,10 @@ def forecast_numpy(y: np.ndarray, horizon: int, p: int, q: int, season: int = SE
 def _solve_stage1(batches):
     m = LONG_AR
     for pdf in batches:
-        out_ids, out_b, out_err = [], [], []
+        out_ids, out_n, out_b, out_err = [], [], [], []
         for _, r in pdf.iterrows():
             out_ids.append(r["id"])
+            out_n.append(r["n_rows"])
             if pd.isna(r["n_w"]) or r["n_w"] < MIN_POINTS:
                 out_b.append(None)
                 out_err.append("series too short for the fit")
@@ -128,7 +129,7 @@ def _solve_stage1(batches):
             except np.linalg.LinAlgError:
                 out_b.append(None)
                 out_err.append("singular stage-1 system")
-        yield pd.DataFrame({"id": out_ids, "b1": out_b, "error": out_err})
+        yield pd.DataFrame({"id": out_ids, "n_rows": out_n, "b1": out_b, "error": out_err})
 
 
 def _stage2_names():
@@ -182,39 +183,36 @@ def sarima_forecast(history: DataFrame, cutoff, horizon: int = 28, order: tuple[
     cut = cutoff if isinstance(cutoff, Column) else F.lit(cutoff).cast("date")
     m = LONG_AR
     w = series_window()
-    base = (history.select("id", "date", floor_zeros("sales").alias("y"))
-                   .withColumn("t", F.row_number().over(w) - 1)
-                   .withColumn("w", F.col("y") - F.lag("y", SEASON).over(w)))
+    # both stages read this one, so the source and the first windows run once
+    base = materialize(history.select("id", "date", floor_zeros("sales").alias("y"))
+                              .withColumn("t", F.row_number().over(w) - 1)
+                              .withColumn("w", F.col("y") - F.lag("y", SEASON).over(w)))
     # stage 1: uncentred autocovariance sums r_k = sum_t w_t w_{t-k}, k = 0..m, per series
     lagged = base.withColumns({f"l{i}": F.lag("w", i).over(w) for i in range(1, m + 1)})
     sums1 = lagged.groupBy("id").agg(
-        F.count("w").alias("n_w"), F.sum(F.col("w") * F.col("w")).alias("r0"),
+        F.count("*").alias("n_rows"), F.count("w").alias("n_w"), F.sum(F.col("w") * F.col("w")).alias("r0"),
         *[F.sum(F.col("w") * F.col(f"l{k}")).alias(f"r{k}") for k in range(1, m + 1)])
-    b1 = sums1.mapInPandas(_solve_stage1, "id string, b1 array<double>, error string")
+    b1 = sums1.mapInPandas(_solve_stage1, "id string, n_rows long, b1 array<double>, error string")
     b1 = materialize(b1)  # one row per series, read for the fits and for the failures; joined by id
-    ok1 = b1.filter(F.col("error").isNull()).select("id", "b1")
+    ok1 = b1.filter(F.col("error").isNull()).select("id", "n_rows", "b1")
     # residuals of stage 1 (0 where the lags do not exist yet), same window partitioning
     fit1 = sum((F.col("b1")[i - 1] * F.col(f"l{i}") for i in range(1, m + 1)), F.lit(0.0))
     resid = (lagged.join(ok1, "id")
                    .withColumn("e", F.when(F.col("t") >= SEASON + m, F.col("w") - fit1).otherwise(F.lit(0.0)))
-                   .select("id", "date", "t", "y", "w", "e"))
-    # stage 2: every candidate's regressors, summed once on a common sample
+                   .select("id", "date", "t", "n_rows", "y", "w", "e"))
+    # stage 2: every candidate's regressors, summed once on a common sample, and the last
+    # rows of each series, which seed the roll-out (bounded: 8 rows, all in the sample)
     names = _stage2_names()
     reg = resid.withColumns({**{f"w{k}": F.lag("w", k).over(w) for k in STAGE2_W_LAGS},
                              **{f"e{k}": F.lag("e", k).over(w) for k in STAGE2_E_LAGS}})
-    full2 = reg.filter(F.col("t") >= SEASON + STAGE2_START)
-    sums2 = full2.groupBy("id").agg(
+    last = F.when(F.col("t") >= F.col("n_rows") - (SEASON + 1), F.struct("t", "y", "w", "e"))
+    sums2 = reg.filter(F.col("t") >= SEASON + STAGE2_START).groupBy("id").agg(
         F.count("*").alias("n2"), F.sum(F.col("w") * F.col("w")).alias("yy"),
         *[F.sum(F.col(a) * F.col(b)).alias(f"x_{a}_{b}") for i, a in enumerate(names) for b in names[i:]],
-        *[F.sum(F.col(a) * F.col("w")).alias(f"y_{a}") for a in names])
-    # the last rows of each series seed the roll-out (bounded: 8 rows)
-    n_tail = SEASON + 1
-    tail = (resid.withColumn("_n", F.count("*").over(Window.partitionBy("id")))
-                 .filter(F.col("t") >= F.col("_n") - n_tail)
-                 .groupBy("id").agg(F.collect_list(F.struct("t", "y", "w", "e")).alias("tail")))
-    out = (sums2.join(tail, "id")
-                .mapInPandas(_solve_stage2(horizon, order, auto),
-                             "id string, h int, yhat double, p int, q int, aic double, error string"))
+        *[F.sum(F.col(a) * F.col("w")).alias(f"y_{a}") for a in names],
+        F.collect_list(last).alias("tail"))
+    out = sums2.mapInPandas(_solve_stage2(horizon, order, auto),
+                            "id string, h int, yhat double, p int, q int, aic double, error string")
     fc = (out.filter(F.col("error").isNull()).drop("error")
              .withColumn("date", F.date_add(cut, F.col("h"))))
     failed = (b1.filter(F.col("error").isNotNull()).select("id", "error")

@@ -15,7 +15,7 @@ from shelfcast.operators import forecast as fcst
 from shelfcast.operators import metrics as met
 from shelfcast.operators import models as mdl
 from shelfcast.operators.rollout import roll_out
-from shelfcast.operators.sarima import sarima_forecast
+from shelfcast.operators.sarima import MIN_POINTS, sarima_forecast
 from shelfcast.operators import sequences as seqs
 from shelfcast.operators.sequences import sequence_windows
 from shelfcast.plans.catalog import register, rounded
@@ -148,9 +148,31 @@ def _sarima(spark, sf_dir, auto=False):
 
 @register("sarima_forecast", None)
 def q_sarima(spark, sf_dir):
-    """M2 + P11 + F11: SARIMA(1,0,1)(1,1,0)[7]-style forecast of every series."""
-    _, _, fc, _ = _sarima(spark, sf_dir)
-    return rounded(fc)
+    """M2 + P11 + F11: SARIMA(1,0,1)(1,1,0)[7]-style forecast of every series; a series that
+    cannot be fitted is a row with ``error``."""
+    _, _, fc, failed = _sarima(spark, sf_dir)
+    return rounded(fc.withColumn("error", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True))
+
+
+@register("sarima_status", with_panel(f"""
+SELECT id, CASE WHEN n < {MIN_POINTS} THEN 'series too short for the fit' ELSE '' END AS error,
+       CASE WHEN n < {MIN_POINTS} THEN 0 ELSE {H} END AS n_steps, CASE WHEN n < {MIN_POINTS} THEN 0 ELSE 1 END AS first_step,
+       CASE WHEN n < {MIN_POINTS} THEN 0 ELSE {H} END AS last_step, 0 AS n_negative
+FROM (SELECT p.id, count(*) - 7 AS n FROM panel p, cut c
+      WHERE p.date <= c.val_end AND (p.item_id <> 'SMALL' OR p.date > c.val_end - 60) GROUP BY p.id)""", extra_ctes=CUT_CTE))
+def q_sarima_status(spark, sf_dir):
+    """M2 per series: the steps forecast, and why a series has none.  The small items have
+    their last 60 days only, too few for a fit."""
+    panel = panel_of(spark, sf_dir)
+    cut = cutoffs(spark, sf_dir, panel)
+    d = F.col("date")
+    history = panel.filter((d <= cut["val_end"]) & ((F.col("item_id") != "SMALL") | (d > F.date_sub(cut["val_end"], 60))))
+    fc, failed = sarima_forecast(history, cut["val_end"], H)
+    steps = fc.groupBy("id").agg(F.count("*").alias("n_steps"), F.min("h").alias("first_step"), F.max("h").alias("last_step"),
+                                 F.count_if(F.col("yhat") < 0).alias("n_negative"))
+    every = steps.unionByName(failed, allowMissingColumns=True)
+    return every.select("id", F.coalesce("error", F.lit("")).alias("error"),
+                        *[F.coalesce(c, F.lit(0)).cast("int").alias(c) for c in ("n_steps", "first_step", "last_step", "n_negative")])
 
 
 @register("sarima_auto_orders", None)
