@@ -68,6 +68,42 @@ def q_decompose(spark, sf_dir):
     return rounded(tsa.decompose(_panel(spark, sf_dir)), keep=("trend", "seasonal", "resid"))
 
 
+def _regression_sql() -> str:
+    """X1 stated by means and regressions, for daily totals of a store."""
+    p, h = tsa.PERIOD, tsa.PERIOD // 2
+    front, back = f"t BETWEEN {h} AND {h + p - 1}", f"t BETWEEN n - 1 - {h} - {p} AND n - 2 - {h}"
+    ctes = f"""
+totals AS (SELECT store_id, date, CAST(sum(sales) AS DOUBLE) AS x FROM panel GROUP BY store_id, date),
+smooth AS (
+  SELECT store_id, date, x, row_number() OVER w - 1 AS t, count(*) OVER (PARTITION BY store_id) AS n,
+         avg(x) OVER (PARTITION BY store_id ORDER BY date ROWS BETWEEN {h} PRECEDING AND {h} FOLLOWING) AS m
+  FROM totals WINDOW w AS (PARTITION BY store_id ORDER BY date)
+),
+ends AS (
+  SELECT store_id, regr_slope(m, t) FILTER ({front}) AS fs, regr_intercept(m, t) FILTER ({front}) AS fi,
+         regr_slope(m, t) FILTER ({back}) AS bs, regr_intercept(m, t) FILTER ({back}) AS bi
+  FROM smooth GROUP BY store_id
+),
+line AS (
+  SELECT s.store_id, date, x, t % {p} AS phase, CASE WHEN t < {h} THEN fi + fs * t WHEN t > n - 1 - {h} THEN bi + bs * t ELSE m END AS trend
+  FROM smooth s JOIN ends USING (store_id) WHERE n >= {3 * p}
+),
+phases AS (SELECT store_id, phase, avg(x - trend) AS p FROM line GROUP BY ALL),
+centred AS (SELECT store_id, phase, p - avg(p) OVER (PARTITION BY store_id) AS seasonal FROM phases)"""
+    return with_panel("""SELECT store_id, date, CAST(x AS BIGINT) AS sales, round(trend, 6) + 0.0 AS trend, round(seasonal, 6) + 0.0 AS seasonal,
+       round(x - trend - seasonal, 6) + 0.0 AS resid
+FROM line JOIN centred USING (store_id, phase)""", extra_ctes=ctes)
+
+
+@register("store_decomposition", _regression_sql())
+def q_store_decomposition(spark, sf_dir):
+    """X1 of the daily total of each store; the oracle fits the ends of the trend by regression
+    instead of the sums the operator uses."""
+    totals = _panel(spark, sf_dir).groupBy("store_id", "date").agg(F.sum("sales").alias("sales"))
+    out = rounded(tsa.decompose(totals, key="store_id"))
+    return out.select("store_id", "date", "sales", *[(F.col(c) + F.lit(0.0)).alias(c) for c in ("trend", "seasonal", "resid")])
+
+
 def _acf_sql(src: str, key: str, nlags: int) -> str:
     lags = ", ".join(f"lag(d, {k}) OVER (PARTITION BY {key} ORDER BY date) AS l{k}" for k in range(1, nlags + 1))
     sums = ", ".join(f"sum(d * l{k}) AS c{k}" for k in range(1, nlags + 1))
