@@ -57,15 +57,17 @@ def _keyed(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
 
 
 def mase(scored: DataFrame, history: DataFrame, by=None, season: int = SEASON,
-         actual="actual", forecast="yhat") -> DataFrame:
-    """MAE / (mean seasonal-naive error on the training span + 1e-8), pooled per group."""
+         actual="actual", forecast="yhat", also: list[Column] = ()) -> DataFrame:
+    """MAE / (mean seasonal-naive error on the training span + 1e-8), pooled per group.
+    ``also`` are further aggregates of ``scored``, taken in the same pass."""
     keys = _by(by)
     s, k = _keyed(scored, keys)
     h, _ = _keyed(history, keys)
-    err = mae(s, k, actual, forecast)
+    err = _agg(s, k, F.avg(abs_error(actual, forecast)).alias("MAE"), *also)
     scale = seasonal_scale(h, k, season)
+    more = [c for c in err.columns if c not in (*k, "MAE")]
     return (err.join(scale, k)
-               .select(*keys, "MAE", (F.col("MAE") / (F.col("naive_mae") + F.lit(SCALE_EPS))).alias("MASE")))
+               .select(*keys, "MAE", (F.col("MAE") / (F.col("naive_mae") + F.lit(SCALE_EPS))).alias("MASE"), *more))
 
 
 def per_series_metrics(scored: DataFrame, history: DataFrame, season: int = SEASON) -> DataFrame:
@@ -85,16 +87,24 @@ def mean_of_series_metrics(scored: DataFrame, history: DataFrame, by=None, seaso
                 F.count("*").alias("n_series"))
 
 
+def _inside(actual="actual", lo="q10", hi="q90") -> Column:
+    inside = F.when((F.col(actual) >= F.col(lo)) & (F.col(actual) <= F.col(hi)), 1.0).otherwise(0.0)
+    return F.avg(inside).alias("Coverage_80%")
+
+
 def coverage(scored: DataFrame, by=None, actual="actual", lo="q10", hi="q90") -> DataFrame:
     """Share of actuals inside [lo, hi], inclusive; a missing bound counts as outside."""
-    inside = F.when((F.col(actual) >= F.col(lo)) & (F.col(actual) <= F.col(hi)), 1.0).otherwise(0.0)
-    return _agg(scored, by, F.avg(inside).alias("Coverage_80%"))
+    return _agg(scored, by, _inside(actual, lo, hi))
+
+
+def _pinball(q: float, qcol: str, actual="actual") -> Column:
+    e = F.col(actual) - F.col(qcol)
+    return F.avg(F.greatest(F.lit(q) * e, F.lit(q - 1.0) * e)).alias(f"pinball_{qcol}")
 
 
 def pinball_loss(scored: DataFrame, q: float, qcol: str, by=None, actual="actual") -> DataFrame:
     """Mean max(q*e, (q-1)*e), e = actual - quantile forecast."""
-    e = F.col(actual) - F.col(qcol)
-    return _agg(scored, by, F.avg(F.greatest(F.lit(q) * e, F.lit(q - 1.0) * e)).alias(f"pinball_{qcol}"))
+    return _agg(scored, by, _pinball(q, qcol, actual))
 
 
 def wrmsse(scored: DataFrame, history: DataFrame, cutoff, horizon: int = 28,
@@ -132,28 +142,26 @@ def wrmsse(scored: DataFrame, history: DataFrame, cutoff, horizon: int = 28,
 
 
 def evaluate(scored: DataFrame, history: DataFrame, model_name: str, by=None,
-             season: int = SEASON) -> DataFrame:
+             season: int = SEASON, quantiles: dict[str, float] | None = None) -> DataFrame:
     """E5: one row per model (and group) with MAE, MASE and, when both bounds exist,
-    Coverage_80%.  WRMSSE is separate, as in the reference (trap D13)."""
-    keys = _by(by)
-    res = mase(scored, history, keys, season)
-    if "q10" in scored.columns and "q90" in scored.columns:
-        s, k = _keyed(scored, keys)
-        r, _ = _keyed(res, keys)
-        res = r.join(coverage(s, k), k).drop("_all")
-    return res.select(F.lit(model_name).alias("model"), *[c for c in res.columns])
+    Coverage_80%; with ``quantiles`` (column: level) also their pinball losses (E8).  One
+    pass over ``scored``.  WRMSSE is separate, as in the reference (trap D13)."""
+    also = [_inside()] if "q10" in scored.columns and "q90" in scored.columns else []
+    also += [_pinball(q, c) for c, q in (quantiles or {}).items()]
+    res = mase(scored, history, by, season, also=also)
+    return res.select(F.lit(model_name).alias("model"), *res.columns)
 
 
 def horizon_scores(scored: DataFrame, history: DataFrame, model_name: str, spans: list[tuple[int, int]],
-                   season: int = SEASON) -> DataFrame:
+                   season: int = SEASON, scale: DataFrame | None = None) -> DataFrame:
     """E7 by horizon: MAE and MASE of the steps first..last of each span (``h`` counts from 1),
     one row per span.  A row is emitted once per span that holds its step; the scale is one
-    number, the pooled seasonal error of ``history``."""
+    number, the pooled seasonal error of ``history`` (``scale`` if it is known already)."""
     inside = F.array_compact(F.array(*[F.when(F.col("h").between(a, b), F.lit(f"{a}-{b}")) for a, b in spans]))
     err = (scored.select(F.explode(inside).alias("horizon"), abs_error().alias("_e"))
                  .groupBy("horizon").agg(F.avg("_e").alias("MAE")).withColumn("_all", F.lit(1)))
-    scale = seasonal_scale(history, None, season).withColumn("_all", F.lit(1))
-    return (err.join(F.broadcast(scale), "_all")
+    scale = seasonal_scale(history, None, season) if scale is None else scale
+    return (err.join(F.broadcast(scale.withColumn("_all", F.lit(1))), "_all")
                .select(F.lit(model_name).alias("model"), "horizon", "MAE",
                        (F.col("MAE") / (F.col("naive_mae") + F.lit(SCALE_EPS))).alias("MASE")))
 

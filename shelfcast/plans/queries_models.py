@@ -91,11 +91,8 @@ def q_gbt_quantile_checks(spark, sf_dir):
 def q_gbt_eval(spark, sf_dir):
     """E5 with coverage + E8 pinball losses of the quantile bands, per store."""
     scored, history, _ = _quantile_scored(spark, sf_dir)
-    rep = met.evaluate(scored, history, "boosted_trees", by="store_id")
-    pin = [met.pinball_loss(scored, q, f"q{int(q * 100)}", "store_id") for q in mdl.QUANTILES]
-    for p in pin:
-        rep = rep.join(p, "store_id")
-    return rounded(rep)
+    return rounded(met.evaluate(scored, history, "boosted_trees", by="store_id",
+                                quantiles={f"q{int(q * 100)}": q for q in mdl.QUANTILES}))
 
 
 @register("gbt_feature_importance", None)
@@ -221,7 +218,8 @@ def q_model_board(spark, sf_dir):
         forecasts = {"seasonal_naive_7": fcst.seasonal_naive(panel, cut["val_end"], H)[0],
                      "sarima": sarima_forecast(history, cut["val_end"], H)[0],
                      "trees_direct": direct.result(), "trees_recursive": recursive.result()}
-    reports = [met.horizon_scores(fcst.scored_frame(fc.select("id", "h", "date", "yhat"), panel, cut["val_end"], H), history, name, SPANS)
+    scale = materialize(met.seasonal_scale(history))  # the MASE denominator, once for all models
+    reports = [met.horizon_scores(fcst.scored_frame(fc.select("id", "h", "date", "yhat"), panel, cut["val_end"], H), history, name, SPANS, scale=scale)
                for name, fc in forecasts.items()]
     return met.horizon_leaderboard(reports)
 
@@ -241,8 +239,9 @@ def q_naive_horizon_board(spark, sf_dir):
     """E7 by horizon: two naive models per span of steps."""
     panel, fc7, _, _, history, cut = naive_scored(spark, sf_dir)
     fc1, _ = fcst.seasonal_naive(panel, cut["val_end"], H, 1)
+    scale = materialize(met.seasonal_scale(history))
     return met.horizon_leaderboard([
-        met.horizon_scores(fcst.scored_frame(fc, panel, cut["val_end"], H), history, name, SPANS)
+        met.horizon_scores(fcst.scored_frame(fc, panel, cut["val_end"], H), history, name, SPANS, scale=scale)
         for name, fc in (("seasonal_naive_7", fc7), ("naive_last_value", fc1))])
 
 

@@ -108,3 +108,21 @@ def test_pinball_loss(spark):
     s = _scored(spark, [10, 10], [8, 12])
     # q=0.9: e=2 -> 1.8 ; e=-2 -> 0.2 ; mean 1.0
     assert met.pinball_loss(s, 0.9, "yhat").first()["pinball_yhat"] == pytest.approx(1.0)
+
+
+def test_report_in_one_pass_equals_the_single_metrics(spark):
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    history = spark.createDataFrame([(k, s, d, float((i * 7 + j) % 11)) for j, (k, s) in enumerate((("a", "S"), ("b", "S"), ("c", "T")))
+                                     for i, d in enumerate(days)], "id string, store_id string, date date, sales double")
+    scored = history.filter("date > '2020-02-01'").selectExpr(
+        "id", "store_id", "date", "sales AS actual", "sales + 1.5 AS yhat", "sales - dayofmonth(date) % 3 + 1 AS q10", "sales + 2 AS q90",
+        "CASE WHEN id = 'a' THEN NULL ELSE sales - 0.5 END AS q50")
+    for by in (None, "store_id"):
+        keys = [by] if by else []
+        out = {tuple(r[k] for k in keys): r for r in met.evaluate(scored, history, "m", by, quantiles={"q10": 0.1, "q50": 0.5}).collect()}
+        for part, name in ((met.mase(scored, history, by), "MASE"), (met.mae(scored, by), "MAE"), (met.coverage(scored, by), "Coverage_80%"),
+                           (met.pinball_loss(scored, 0.1, "q10", by), "pinball_q10"), (met.pinball_loss(scored, 0.5, "q50", by), "pinball_q50")):
+            rows = part.collect()
+            assert len(rows) == len(out)
+            for r in rows:
+                assert r[name] == pytest.approx(out[tuple(r[k] for k in keys)][name])
