@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfcast.llm import language_id, line_dedup, mixing
+from shelfcast.llm.common import connected_components
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -94,6 +95,28 @@ def test_hot_bands_are_compared_in_chunks(spark, monkeypatch):
     assert sum("n_removed=0" in r for r in want) == 3
 
 
+def test_candidates_do_not_depend_on_the_number_of_lines(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    vocab = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 10))) for _ in range(3000)]
+    rows = []
+    for i in range(150):
+        line = list(" ".join(rng.choice(vocab, 10)))
+        rows.append((2 * i, "".join(line)))
+        for k in rng.choice(len(line), round(0.1 * len(line)), replace=False):
+            line[k] = "abcdefghijklmnopqrstuvwxyz"[rng.integers(26)]
+        rows.append((2 * i + 1, "".join(line)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def found():
+        return sorted(connected_components(line_dedup.near_sketches(line_dedup.lines(docs))).collect())
+
+    small = found()
+    assert len(small) > 200
+    count = line_dedup.row_count
+    monkeypatch.setattr(line_dedup, "row_count", lambda df: count(df) and 5_000_000)
+    assert found() == small
+
+
 # --- n-gram Jaccard join in the pipeline ------------------------------------------------------
 
 def test_near_copies_that_share_an_id_go(spark):
