@@ -8,9 +8,9 @@ grouped aggregate, which also gives the validation loss of the rounds before.  T
 sees one row per leaf (at most 2^maxDepth).
 
 The leaf quantile is the exact order statistic of rank ceil(q n).  ``percentile_approx``
-gives it for leaves of up to ``ACCURACY`` rows; for larger ones the rank is bracketed by
-counts in a fixed number of bins, whose least and largest values bound the next pass, until
-both are the same value.
+gives it for leaves of up to ``ACCURACY`` rows; for larger ones its values a little below and
+above bracket the rank, and counts in a fixed number of bins give the least and largest values
+that bound the next pass, until both are the same value.
 
 An ensemble is a few arrays per tree, read from MLlib's published description of the tree.
 It can be kept and continued, and scores rows without a plan that grows with the rounds.
@@ -130,30 +130,35 @@ def exact_quantiles(df: DataFrame, group: str, value: str, q: float, *more: Colu
     NULL values are left out; a group without values gets no entry.  Only rows per group
     and bin reach the driver, so ``group`` must have few distinct values.
     """
-    v = F.col(value)
+    v, near = F.col(value), 2.0 / accuracy
+    ranks = [max(0.0, q - near), float(q), min(1.0, q + near)]
     first = df.groupBy(group).agg(F.count(v).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi"),
-                                  F.percentile_approx(v, float(q), accuracy).alias("_q"), *more).collect()
-    found = {r[group]: r["_q"] for r in first if 0 < r["_n"] <= accuracy}
-    # group -> (least, largest, rank inside) of the open brackets
-    left = {r[group]: (r["_lo"], r["_hi"], max(1, math.ceil(q * r["_n"]))) for r in first if r["_n"] > accuracy}
+                                  F.percentile_approx(v, ranks, accuracy).alias("_q"), *more).collect()
+    found = {r[group]: r["_q"][1] for r in first if 0 < r["_n"] <= accuracy}
+    # group -> (least, largest) of the open brackets; the counts of the first pass show whether
+    # the approximate ranks hold the wanted one
+    left = {r[group]: (r["_q"][0], r["_q"][2]) for r in first if r["_n"] > accuracy}
+    whole = {r[group]: (r["_lo"], r["_hi"], max(1, math.ceil(q * r["_n"]))) for r in first}
     while left:
-        found |= {g: lo for g, (lo, hi, _) in left.items() if lo == hi}
-        left = {g: b for g, b in left.items() if b[0] != b[1]}
-        if not left:
-            break
         names = list(left)
         at = F.array_position(F.lit(names) if not isinstance(names[0], str) else F.array(*map(F.lit, names)), F.col(group)).cast("int") - 1
         lo, hi = (F.get(F.lit([float(left[g][i]) for g in names]), at) for i in (0, 1))
-        inside = df.select(group, v.cast("double").alias("_v"), lo.alias("_a"), hi.alias("_b")).filter("_v >= _a AND _v <= _b")
-        place = F.least(F.floor((F.col("_v") - F.col("_a")) / (F.col("_b") - F.col("_a")) * bins), F.lit(bins - 1))
-        rows = inside.groupBy(group, place.alias("_bin")).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).collect()
+        inside = df.select(group, v.cast("double").alias("_v"), lo.alias("_a"), hi.alias("_b")).filter("_v <= _b")
+        place = F.least(F.floor(F.coalesce(F.try_divide(F.col("_v") - F.col("_a"), F.col("_b") - F.col("_a")), F.lit(0.0)) * bins), F.lit(bins - 1))
+        rows: dict = {}
+        for r in (inside.groupBy(group, F.when(F.col("_v") < F.col("_a"), -1).otherwise(place).alias("_bin"))
+                        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).collect()):
+            rows.setdefault(r[group], []).append(r)
         for g in names:
-            rank = left[g][2]
-            for r in sorted((r for r in rows if r[group] == g), key=lambda r: r["_bin"]):
+            *left[g], rank = whole[g]
+            for r in sorted(rows.get(g, ()), key=lambda r: r["_bin"]):
                 if rank <= r["_n"]:
-                    left[g] = (r["_lo"], r["_hi"], rank)
+                    if r["_bin"] >= 0:
+                        left[g] = (r["_lo"], r["_hi"])
                     break
                 rank -= r["_n"]
+        found |= {g: lo for g, (lo, hi) in left.items() if lo == hi}
+        left = {g: b for g, b in left.items() if b[0] != b[1]}
     return found, first
 
 
@@ -170,6 +175,12 @@ def training_rows(train: DataFrame, val: DataFrame | None, columns: list[str], t
     return materialize(put.select("x", F.col(target).cast("double").alias("y"), "is_val", F.xxhash64(*key).alias("pick")))
 
 
+def start_value(rows: DataFrame, quantile: float) -> float:
+    """What boosting begins with: the quantile of the training targets."""
+    found, _ = exact_quantiles(rows.filter(F.col("y").isNotNull() & ~F.col("is_val")).withColumn("g", F.lit(0)), "g", "y", quantile)
+    return float(found.get(0, 0.0))
+
+
 def add_score(df: DataFrame, ensemble: Ensemble, columns: list[Column], name: str) -> DataFrame:
     """``name``: what the ensemble gives for the features in ``columns`` (in its order)."""
     ship_package(df.sparkSession)
@@ -188,27 +199,31 @@ def boost(rows: DataFrame, columns: list[str], quantile: float = 0.5, rounds: in
     """``rounds`` more trees on ``rows`` (of ``training_rows``), from ``begin`` if given.
 
     With ``patience`` rounds stop once the validation loss has not fallen for that many, and
-    the trees after the best round are dropped.  NULL targets are left out.
+    the trees after the best round are dropped.  NULL targets are left out.  A ``start`` among
+    the parameters is that of ``start_value``.  Callers with several fits persist ``rows``.
     """
     p = {**DEFAULTS, **(params or {})}
+    start = p.pop("start", None)
     rows = rows.filter(F.col("y").isNotNull())
     if begin is None:
-        start, _ = exact_quantiles(rows.filter(~F.col("is_val")).withColumn("g", F.lit(0)), "g", "y", quantile)
-        begin = Ensemble(quantile, list(columns), p, float(start.get(0, 0.0)))
+        begin = Ensemble(quantile, list(columns), p, start_value(rows, quantile) if start is None else start)
     made = Ensemble(quantile, list(columns), p, begin.start, list(begin.trees), list(begin.losses[:len(begin.trees)]))
     if not made.trees:
         state = rows.withColumn("now", F.lit(made.start))
     else:
         values = vector_to_array("x")
         state = add_score(rows, made, [values[i] for i in range(len(columns))], "now")
-    state = state.select("x", "y", "is_val", "pick", "now").persist()
+    state = state.select("x", "y", "is_val", "pick", "now")
+    if made.trees:
+        state = state.persist()
     n_used = max(1, round(p["featureSubsetFraction"] * len(columns)))
     share = int(p["subsamplingRate"] * 10_000)
     error = F.col("y") - F.col("now")
     # a state is computed by the next round's fit; the two before it are let go after that
-    held = [state]
+    held = [state] if made.trees else []
     try:
-        for r in range(len(made.trees), len(made.trees) + rounds):
+        end = len(made.trees) + rounds
+        for r in range(len(made.trees), end):
             used = sorted(random.Random(seed * 100_003 + r).sample(range(len(columns)), n_used))
             drawn = ~F.col("is_val") & (F.pmod(F.xxhash64("pick", F.lit(seed), F.lit(r)), F.lit(10_000)) < share)
             cut = VectorSlicer(inputCol="x", outputCol="part", indices=used)
@@ -228,7 +243,8 @@ def boost(rows: DataFrame, columns: list[str], quantile: float = 0.5, rounds: in
             adds = [p["stepSize"] * float(found.get(i, 0.0)) for i in range(n_leaves)]
             made.trees.append(_parse(tree.toDebugString, used, adds))
             state = leafed.select("x", "y", "is_val", "pick", (F.col("now") + F.get(F.lit(adds), F.col("leaf"))).alias("now"))
-            state = materialize(state) if (r + 1) % CUT_EVERY == 0 else state.persist()
+            if r + 1 < end:  # the forecast of the last round is read once
+                state = materialize(state) if (r + 1) % CUT_EVERY == 0 else state.persist()
             if patience and n_val and r + 1 - int(np.argmin(made.losses)) > patience:
                 break
             held.append(state)
@@ -255,8 +271,12 @@ def fit_quantiles(rows: DataFrame, columns: list[str], quantiles: list[float], *
     """M5: one ensemble per quantile; their jobs run side by side."""
     from concurrent.futures import ThreadPoolExecutor
 
-    with ThreadPoolExecutor(len(quantiles)) as pool:
-        return dict(zip(quantiles, pool.map(lambda q: boost(rows, columns, q, **kwargs), quantiles), strict=True))
+    rows = rows.persist()
+    try:
+        with ThreadPoolExecutor(len(quantiles)) as pool:
+            return dict(zip(quantiles, pool.map(lambda q: boost(rows, columns, q, **kwargs), quantiles), strict=True))
+    finally:
+        rows.unpersist()
 
 
 def predict_quantiles(df: DataFrame, ensembles: dict[float, Ensemble]) -> DataFrame:
@@ -282,16 +302,22 @@ def successive_halving(rows: DataFrame, columns: list[str], draws: list[dict], s
     made: dict[int, Ensemble | None] = dict.fromkeys(range(len(draws)))
     out: dict[int, dict] = {}
     total = first_rounds
-    while True:
-        def rung(i: int) -> None:
-            before = made[i]
-            made[i] = boost(rows, columns, 0.5, total - (len(before.trees) if before else 0), draws[i], before, seed=seed + i)
-            # pinball loss at one half is half the absolute error
-            out[i] = {"trial": i, "value": 2 * made[i].losses[-1] / scale, "rounds": total, **draws[i]}
-
-        with ThreadPoolExecutor(at_once) as pool:
-            list(pool.map(rung, list(made)))
-        if len(made) == 1 or total * keep > last_rounds:
-            return [out[i] for i in sorted(out)]
-        best = sorted(made, key=lambda i: (out[i]["value"], i))[:math.ceil(len(made) / keep)]
-        made, total = {i: made[i] for i in best}, total * keep
+    rows = rows.persist()
+    start = start_value(rows, 0.5)  # the same for all draws
+
+    def rung(i: int) -> None:
+        before = made[i]
+        made[i] = boost(rows, columns, 0.5, total - (len(before.trees) if before else 0), {**draws[i], "start": start}, before, seed=seed + i)
+        # pinball loss at one half is half the absolute error
+        out[i] = {"trial": i, "value": 2 * made[i].losses[-1] / scale, "rounds": total, **draws[i]}
+
+    try:
+        while True:
+            with ThreadPoolExecutor(at_once) as pool:
+                list(pool.map(rung, list(made)))
+            if len(made) == 1 or total * keep > last_rounds:
+                return [out[i] for i in sorted(out)]
+            best = sorted(made, key=lambda i: (out[i]["value"], i))[:math.ceil(len(made) / keep)]
+            made, total = {i: made[i] for i in best}, total * keep
+    finally:
+        rows.unpersist()
