@@ -172,3 +172,21 @@ def test_a_dirty_label_column_leaves_the_frequent_languages(spark):
     for r in language_id.predict(df, model).collect():
         assert r["language"]["lang"] == ("en" if r["text"].startswith("the") else "fr")
     assert len(language_id.fit(df).languages) == 42
+
+
+def test_texts_and_lines_to_compare_are_shuffled_once(spark, monkeypatch):
+    """Texts go to their lines once and lines to their clusters once (three shuffles of the lines before)."""
+    base = "the quick brown fox jumps over the lazy dog near the old river bank"
+    docs = spark.createDataFrame([(i, f"{base} number {i % 50}\nplain line of document {i}") for i in range(200)] * 2, "doc_id long, text string")
+    sent, made = [], line_dedup.per_group
+
+    def seen(df, *args):
+        sent.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return made(df, *args)
+
+    monkeypatch.setattr(line_dedup, "per_group", seen)
+    out = line_dedup.dedup_lines(docs)
+    assert out.count() == 400 and out.agg({"line_dedup.n_removed": "max"}).first()[0] >= 1
+    assert len(sent) == 1
+    above = sent[0][:sent[0].index("MapInPandas")]
+    assert "Aggregate" not in above and "Join" not in above
