@@ -174,19 +174,25 @@ def test_a_dirty_label_column_leaves_the_frequent_languages(spark):
     assert len(language_id.fit(df).languages) == 42
 
 
-def test_texts_and_lines_to_compare_are_shuffled_once(spark, monkeypatch):
-    """Texts go to their lines once and lines to their clusters once (three shuffles of the lines before)."""
+def test_lines_of_a_large_cluster_meet_in_turns(spark, monkeypatch):
+    """Every pair of chunks meets, with a bounded number of copies of a line in one shuffle
+    (as many as chunks before)."""
     base = "the quick brown fox jumps over the lazy dog near the old river bank"
-    docs = spark.createDataFrame([(i, f"{base} number {i % 50}\nplain line of document {i}") for i in range(200)] * 2, "doc_id long, text string")
-    sent, made = [], line_dedup.per_group
+    docs = spark.createDataFrame([(i, f"{base} number {i}") for i in range(40)], "doc_id long, text string")
+    rows = docs.withColumn("row", F.xxhash64("doc_id", "text"))
+    w = F.struct(F.lit(0).alias("line"), F.col("doc_id").alias("key"), F.lit(0).cast("long").alias("simhash"), F.lit(None).cast("binary").alias("packed"),
+                 F.lit(1).cast("long").alias("cluster"), F.lit(7).alias("parts"))
+    by_doc = rows.select("row", F.array(w).alias("w")).checkpoint()
+    copies, made = [], line_dedup.per_group
 
     def seen(df, *args):
-        sent.append(df._jdf.queryExecution().optimizedPlan().toString())
+        copies.append(df.groupBy("key").count().agg(F.max("count")).first()[0])
         return made(df, *args)
 
     monkeypatch.setattr(line_dedup, "per_group", seen)
-    out = line_dedup.dedup_lines(docs)
-    assert out.count() == 400 and out.agg({"line_dedup.n_removed": "max"}).first()[0] >= 1
-    assert len(sent) == 1
-    above = sent[0][:sent[0].index("MapInPandas")]
-    assert "Aggregate" not in above and "Join" not in above
+    monkeypatch.setattr(line_dedup, "TURNS_AT_ONCE", 2)
+    links = line_dedup._links(docs.union(docs), by_doc, "doc_id", "text", 3, 0.8)
+    assert {r["component"] for r in connected_components(links).collect()} == {0}
+    assert connected_components(links).count() == 40 and len(copies) == 4 and max(copies) <= 2
+    pairs = line_dedup.chunk_rows(by_doc.select(F.col("w")[0]["key"].alias("key"), F.lit(5).alias("__parts")), "key").collect()
+    assert {(r["lo"], r["hi"]) for r in pairs} == {(a, b) for b in range(5) for a in range(b)} and len(pairs) == 40 * 4
