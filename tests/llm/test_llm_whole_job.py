@@ -196,3 +196,33 @@ def test_lines_of_a_large_cluster_meet_in_turns(spark, monkeypatch):
     assert connected_components(links).count() == 40 and len(copies) == 4 and max(copies) <= 2
     pairs = line_dedup.chunk_rows(by_doc.select(F.col("w")[0]["key"].alias("key"), F.lit(5).alias("__parts")), "key").collect()
     assert {(r["lo"], r["hi"]) for r in pairs} == {(a, b) for b in range(5) for a in range(b)} and len(pairs) == 40 * 4
+
+
+def test_lines_that_meet_by_chance_do_not_form_a_cluster():
+    """Lines with few equal bins are compared as pairs (their clusters grew into one before)."""
+    line, cell = np.arange(16)[:, None], np.arange(line_dedup.BINS)
+    bins = np.where(cell < 18, cell, line + cell).astype(np.uint16)  # 18 equal bins, the others all different
+    bins = np.concatenate([bins, bins[[5] * 4]])
+    bins[16:, 63] += 1
+    found = line_dedup._near_in_bands(np.ones(20, np.uint64), np.arange(20), np.full(20, 100, np.int32), line_dedup._packed(bins), 0.8)
+    strong, weak = found[~found["weak"]], found[found["weak"]]
+    assert {*strong["a"], *strong["b"]} == {5, 16, 17, 18, 19} and len(strong) == 4
+    assert len(weak.drop_duplicates()) == len(weak) == 20 * 19 // 2 - 10  # every other pair is there once
+
+
+def test_pairs_are_given_up_only_if_surely_apart():
+    rng = np.random.default_rng(6)
+    letters = np.array(list("abcdefgh é\u4e00"))
+    a, b = [], []
+    for i in range(600):
+        line = list(rng.choice(letters, rng.integers(1, 300)))
+        other = list(line) if i % 2 else list(rng.choice(letters, len(line)))
+        for _ in range(rng.integers(0, len(line) // 4 + 1)):
+            k = rng.integers(len(other) + 1)
+            other[k:k + rng.integers(2)] = rng.choice(letters, rng.integers(2))
+        a.append("".join(line))
+        b.append("".join(other))
+    most = np.array([int(0.2 * max(len(x), len(y)) + 1e-9) for x, y in zip(a, b, strict=True)])
+    apart = line_dedup.surely_apart(a, b, most)
+    alike = np.array([line_dedup.similar(x, y, 0.8) for x, y in zip(a, b, strict=True)])
+    assert not (apart & alike).any() and alike.sum() > 100 and apart.sum() > 100
