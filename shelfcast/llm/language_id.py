@@ -23,6 +23,7 @@ alphabetical order; repeated rows are scored one by one; an empty table gives no
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -162,12 +163,11 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str =
 def predict(docs: DataFrame, model: Model, text: str = "text", name: str = "language") -> DataFrame:
     """All columns of ``docs`` plus a struct ``name(lang, score)`` (an input column of that
     name is replaced).  Other columns never reach the classifier; no row is shuffled."""
-    kept = [c for c in docs.columns if c != name]
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != name]
 
-    def run(batches):
-        for batch in batches:
-            ok = batch.column("letter").to_numpy(zero_copy_only=False)
-            texts = batch.column("lower")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, letter in batches:
+            ok = letter.to_numpy(zero_copy_only=False)
             best, score = np.full(len(ok), -1), np.zeros(len(ok))
             if len(model.languages) == 1:
                 best[ok], score[ok] = 0, 1.0
@@ -183,14 +183,14 @@ def predict(docs: DataFrame, model: Model, text: str = "text", name: str = "lang
                     p = _softmax(out.astype(np.float64) * model.temperature)
                     best[rows], score[rows] = p.argmax(1), p.max(1)
             names = np.array([*model.languages, UNKNOWN], dtype=object)
-            guess = pa.StructArray.from_arrays([pa.array(names[best], pa.string()), pa.array(score)], ["lang", "score"])
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), guess], ["doc", "guess"])
-
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.lower(F.col(text)).alias("lower"),
-                         F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letter"))
-    schema = f"doc {packed.schema['doc'].dataType.simpleString()}, guess struct<lang:string,score:double>"
-    scored = packed.mapInArrow(run, schema)
-    return scored.select(*[F.col("doc")[c].alias(c) for c in kept], F.col("guess").alias(name))
+            yield pa.StructArray.from_arrays([pa.array(names[best], pa.string()), pa.array(score)], ["lang", "score"])
+
+    # only the text goes to the Python worker and only the answer comes back: a batch of whole rows,
+    # each with its text twice, takes several times the memory.  "Nondeterministic": a filter
+    # on the answer does not score the texts once more
+    guess = F.arrow_udf(run, "lang string, score double").asNondeterministic()
+    letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+    return docs.select(*kept, guess(F.lower(F.col(text)), letter).alias(name))
 
 
 def _slices(texts: pa.Array):

@@ -226,3 +226,15 @@ def test_pairs_are_given_up_only_if_surely_apart():
     apart = line_dedup.surely_apart(a, b, most)
     alike = np.array([line_dedup.similar(x, y, 0.8) for x, y in zip(a, b, strict=True)])
     assert not (apart & alike).any() and alike.sum() > 100 and apart.sum() > 100
+
+
+def test_only_texts_go_to_the_language_workers(spark):
+    """Whole rows went through Python, each with its text twice; each text is scored once."""
+    rows = [(i, "the cat and the dog" if i % 2 else "le chat et le chien", "en" if i % 2 else "fr", "x" * 50) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (40, None, "en", "x"), (40, None, "en", "x"), (None, "12", None, None)], "doc_id long, text string, lang string, `a b` string")
+    out = corpus_pipeline.language_stage(spark, docs, "")
+    assert sorted(map(tuple, out.collect())) == sorted(rows)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "MapInArrow" not in plan
+    sent = next(x for x in plan.splitlines() if "ArrowEvalPython" in x).split("]")[0]
+    assert "text" in sent and not any(c in sent for c in ("doc_id", "lang", "a b"))
