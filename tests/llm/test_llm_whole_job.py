@@ -238,3 +238,73 @@ def test_only_texts_go_to_the_language_workers(spark):
     assert plan.count("ArrowEvalPython") == 1 and "MapInArrow" not in plan
     sent = next(x for x in plan.splitlines() if "ArrowEvalPython" in x).split("]")[0]
     assert "text" in sent and not any(c in sent for c in ("doc_id", "lang", "a b"))
+
+
+def changed_lines(n, seed=3):
+    """Lines of 40 letters in groups around one text, each with up to 10 letters changed."""
+    rng = np.random.default_rng(seed)
+    letters, out = np.array(list("abcdefghijklmnop")), []
+    for i in range(n):
+        line = np.array(list("the first old text of this large group ab" if i % 3 else "no such line stands in the other ones xyz"))
+        at = rng.choice(len(line), rng.integers(11), replace=False)
+        line[at] = rng.choice(letters, len(at))
+        out.append(line_dedup.normal("".join(line)))
+    return out
+
+
+def linked(n, links):
+    a, b = (np.array([x[k] for x in links], np.int64) for k in (0, 1))
+    return line_dedup.local_components(n, a, b).tolist()
+
+
+def test_weak_pairs_are_compared_in_rounds(spark, monkeypatch):
+    """The texts of all weak pairs were shuffled at once, both of each pair, and whole documents
+    for them; now a round carries a bounded number of texts for each line, and only such lines."""
+    value = changed_lines(30)
+    docs = spark.createDataFrame([(i, f"{'other words ' * 50}\n\n{v}\n") for i, v in enumerate(value)] + [(99, None), (98, "")], "doc_id long, text string")
+    places = docs.filter("doc_id < 30").select(F.col("doc_id").alias("key"), line_dedup._row_key("doc_id", "text").alias("row"), F.lit(2).alias("line")).checkpoint()
+    pairs = [(i, j) for j in range(30) for i in range(j)]
+    weak = spark.createDataFrame(pairs, "a long, b long").checkpoint()
+    made, keep = [], line_dedup.materialize
+
+    def seen(df):
+        made.append(keep(df))
+        return made[-1]
+
+    monkeypatch.setattr(line_dedup, "materialize", seen)
+    monkeypatch.setattr(line_dedup, "PAIRS_A_LINE", 4)
+    links = line_dedup._pair_links(docs.union(docs), weak, places, "doc_id", "text", 0.8)
+    want = sorted((i, j) for i, j in pairs if line_dedup.similar(value[i], value[j], 0.8))
+    assert sorted(map(tuple, links.collect())) == want and 0 < len(want) < len(pairs)
+    texts = next(df for df in made if "value" in df.columns)
+    assert sorted(map(tuple, texts.collect())) == list(enumerate(value))  # no other line, each once
+    assert len(made) >= 1 + 4  # 435 pairs, about 4 x 30 at once
+    nothing = line_dedup._pair_links(docs, weak.limit(0), places.limit(0), "doc_id", "text", 0.8)
+    assert nothing.count() == 0
+
+
+def test_sketches_are_gone_when_texts_are_compared(spark, monkeypatch):
+    """The sketches of all lines stayed on disk until the end."""
+    docs = spark.createDataFrame([(i, f"{v}\nline of text number {i % 5}") for i, v in enumerate(changed_lines(20))], "doc_id long, text string")
+    want = sorted(map(str, line_dedup.dedup_lines(docs).collect()))
+    seen, groups = [], line_dedup.line_groups
+
+    def compared(*args):
+        seen.extend(c for df in args if hasattr(df, "columns") for c in df.columns)
+        return groups(*args)
+
+    monkeypatch.setattr(line_dedup, "line_groups", compared)
+    assert sorted(map(str, line_dedup.dedup_lines(docs).collect())) == want
+    assert "key" in seen and not {"sketch", "simhash", "chars"} & {*seen}
+
+
+@pytest.mark.parametrize("first", [1, 500, 10**6])
+def test_a_cluster_is_connected_as_by_all_its_pairs(monkeypatch, first):
+    monkeypatch.setattr(line_dedup, "FIRST_CHARS", first)
+    monkeypatch.setattr(line_dedup, "CHARS_AT_ONCE", max(first, 2000))
+    value = changed_lines(60) + changed_lines(20, seed=4)
+    n = len(value)
+    frame = {"key": np.arange(n), "simhash": np.zeros(n, np.int64), "packed": [None] * n, "value": value}
+    found = line_dedup._decide(line_dedup.pd.DataFrame(frame), 3, 0.8)
+    pairs = [(i, j) for j in range(n) for i in range(j) if line_dedup.similar(value[i], value[j], 0.8)]
+    assert linked(n, found.to_numpy().tolist()) == linked(n, pairs) and len(found) < n
