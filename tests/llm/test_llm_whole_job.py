@@ -308,3 +308,69 @@ def test_a_cluster_is_connected_as_by_all_its_pairs(monkeypatch, first):
     found = line_dedup._decide(line_dedup.pd.DataFrame(frame), 3, 0.8)
     pairs = [(i, j) for j in range(n) for i in range(j) if line_dedup.similar(value[i], value[j], 0.8)]
     assert linked(n, found.to_numpy().tolist()) == linked(n, pairs) and len(found) < n
+
+
+def test_lines_of_impossible_lengths_are_not_linked_by_their_simhash(spark):
+    """Lines of one SimHash were linked whatever their lengths, which joined unrelated clusters."""
+    rows = [(1, 7, 100), (2, 7, 110), (3, 6, 300), (4, 7, 310), (5, 1 << 40, 100), (6, 5, 2000)]
+    edges = line_dedup.near_hashes(spark.createDataFrame(rows, "key long, simhash long, chars int"))
+    assert {tuple(sorted((r["a"], r["b"]))) for r in edges.collect()} == {(1, 2), (3, 4)}
+
+
+def test_pairs_of_a_band_are_those_of_all_pairs(monkeypatch):
+    """Compared in blocks; too many weak pairs to be held are found again."""
+    rng = np.random.default_rng(8)
+    n = 700
+    bins = rng.integers(0, 3, (n, line_dedup.BINS)).astype(np.uint16)
+    near = rng.integers(0, n, 300)
+    bins[near] = bins[rng.integers(0, 5, 300)]
+    key, chars = rng.integers(0, 3, n).astype(np.uint64) % np.uint64(2), rng.integers(60, 130, n).astype(np.int32)
+    packed = line_dedup._packed(bins)
+    equal = (bins[:, None] == bins[None]).sum(axis=2)
+    assert (line_dedup._equal_bins(packed[:, None], packed[None]) == equal).all()
+    longer = np.maximum(chars[:, None], chars[None]).astype(np.int64)
+    maybe = (key[:, None] == key[None]) & (abs(chars[:, None] - chars[None]) <= (0.2 * longer + 1e-9).astype(np.int64)) & np.triu(np.ones((n, n), bool), 1)
+    for strong in (24, 40):
+        monkeypatch.setattr(line_dedup, "STRONG_BINS", strong)
+        label = line_dedup.local_components(n, *np.nonzero(maybe & (equal >= strong)))
+        want = {(i, j) for i, j in zip(*(x.tolist() for x in np.nonzero(maybe & (equal >= line_dedup.NEAR_BINS))), strict=True) if label[i] != label[j]}
+        for held in (line_dedup.LINKS_AT_ONCE, 10):
+            monkeypatch.setattr(line_dedup, "LINKS_AT_ONCE", held)
+            found = line_dedup._near_in_bands(key, np.arange(n), chars, packed, 0.8)
+            tied, weak = found[~found["weak"]], found[found["weak"]]
+            assert (line_dedup.local_components(n, tied["a"].to_numpy(), tied["b"].to_numpy()) == label).all()
+            assert {(a, b) for a, b in zip(weak["a"], weak["b"], strict=True)} == want and len(weak) == len(want)
+
+
+def test_many_pairs_at_once_are_told_as_one_by_one(monkeypatch):
+    """Similar pairs were all compared one by one, in Python."""
+    monkeypatch.setattr(line_dedup, "FEW_IN_BAND", 1)
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefgh \u00e9\u4e00\0"))
+    a, b = [], []
+    for i in range(300):
+        line = list(rng.choice(letters, rng.integers(0, 400 if i % 3 else 30)))
+        other = list(line) if i % 4 else list(rng.choice(letters, len(line)))
+        for _ in range(rng.integers(0, len(line) // 5 + 2)):
+            k = rng.integers(len(other) + 1)
+            other[k:k + rng.integers(3)] = rng.choice(letters, rng.integers(3))
+        if i % 5 == 0:
+            del other[:rng.integers(60)]
+        a.append("".join(line))
+        b.append("".join(other))
+    apart = np.array([line_dedup.edit_distance(x, y, 10**6) for x, y in zip(a, b, strict=True)])
+    for most in (apart, apart - 1, np.array([int(0.2 * max(len(x), len(y)) + 1e-9) for x, y in zip(a, b, strict=True)])):
+        most = np.maximum(most, 0)
+        near, told = line_dedup.alike(a, b, most)
+        assert told.all() and (near == (apart <= most)).all()
+
+
+def test_small_clusters_are_compared_together(monkeypatch):
+    for few in (1, line_dedup.FEW_IN_BAND):
+        monkeypatch.setattr(line_dedup, "FEW_IN_BAND", few)
+        value, rows = changed_lines(90), np.array([2, 30, 3, 55])
+        frame = line_dedup.pd.DataFrame({"key": range(90), "simhash": 0, "packed": None, "value": value})
+        found = line_dedup._decide_small(frame, rows, 3, 0.8)
+        cluster = np.repeat(range(4), rows)
+        pairs = [(i, j) for j in range(90) for i in range(j) if cluster[i] == cluster[j] and line_dedup.similar(value[i], value[j], 0.8)]
+        assert linked(90, list(zip(found["a"], found["b"], strict=True))) == linked(90, pairs) and len(found) < 90
